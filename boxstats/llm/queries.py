@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from boxstats.llm import bpe, packing, simhash, store, token_files, url_reputation
+from boxstats.llm import bpe, embeddings, packing, simhash, store, token_files, url_reputation
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"), public.path("byte_bpe_50k.tiktoken"), public.PATTERN)
 
 
+def op2_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(_table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as public
 
@@ -43,6 +47,6 @@ def op10_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_reputation.judge(_table(spark, sf_dir, "pages"), labels.select(F.col("doc_id").alias("page_id"), bad.alias("bad")))
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op3_packing": op3_packing, "op5_token_files": op5_token_files, "op7_simhash": op7_simhash, "op10_url_reputation": op10_url_reputation}
+QUERIES = {"op1_bpe": op1_bpe, "op2_embeddings": op2_embeddings, "op3_packing": op3_packing, "op5_token_files": op5_token_files, "op7_simhash": op7_simhash, "op10_url_reputation": op10_url_reputation}
 
 ORACLES = {"op10_url_reputation": url_reputation.oracle()}
