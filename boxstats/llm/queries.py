@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from boxstats.llm import bpe, embeddings, packing, quality, simhash, store, token_files, url_reputation
+from boxstats.llm import bpe, embeddings, packing, pii, quality, simhash, store, token_files, url_reputation
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,12 +49,16 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_table(spark, sf_dir, "documents"), trusted_documents(spark, sf_dir))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(_table(spark, sf_dir, "documents"))
+
+
 def op10_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = _table(spark, sf_dir, "labels")
     bad = F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).when(F.col("quality").isNotNull() & F.col("toxic").isNotNull(), 0)
     return url_reputation.judge(_table(spark, sf_dir, "pages"), labels.select(F.col("doc_id").alias("page_id"), bad.alias("bad")))
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op2_embeddings": op2_embeddings, "op3_packing": op3_packing, "op5_token_files": op5_token_files, "op7_simhash": op7_simhash, "op8_quality": op8_quality, "op10_url_reputation": op10_url_reputation}
+QUERIES = {"op1_bpe": op1_bpe, "op2_embeddings": op2_embeddings, "op3_packing": op3_packing, "op5_token_files": op5_token_files, "op7_simhash": op7_simhash, "op8_quality": op8_quality, "op9_pii": op9_pii, "op10_url_reputation": op10_url_reputation}
 
 ORACLES = {"op10_url_reputation": url_reputation.oracle()}
