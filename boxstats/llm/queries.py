@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from boxstats.llm import bpe, embeddings, packing, pii, quality, simhash, store, token_files, url_reputation
+from boxstats.llm import bpe, embeddings, lines, packing, pii, quality, simhash, store, token_files, url_reputation
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,11 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digest(token_files.read(spark, path))
 
 
+def op6_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = lines.cleaned(_table(spark, sf_dir, "documents"), count_columns=("n_lines", "n_dropped"))
+    return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("text_sha256"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -59,6 +64,6 @@ def op10_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_reputation.judge(_table(spark, sf_dir, "pages"), labels.select(F.col("doc_id").alias("page_id"), bad.alias("bad")))
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op2_embeddings": op2_embeddings, "op3_packing": op3_packing, "op5_token_files": op5_token_files, "op7_simhash": op7_simhash, "op8_quality": op8_quality, "op9_pii": op9_pii, "op10_url_reputation": op10_url_reputation}
+QUERIES = {"op1_bpe": op1_bpe, "op2_embeddings": op2_embeddings, "op3_packing": op3_packing, "op5_token_files": op5_token_files, "op6_lines": op6_lines, "op7_simhash": op7_simhash, "op8_quality": op8_quality, "op9_pii": op9_pii, "op10_url_reputation": op10_url_reputation}
 
-ORACLES = {"op10_url_reputation": url_reputation.oracle()}
+ORACLES = {"op6_lines": lines.oracle(), "op10_url_reputation": url_reputation.oracle()}
