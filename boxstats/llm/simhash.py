@@ -70,7 +70,8 @@ def _fingerprints(shingle: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in tokens.blocks(batches, "text"):
             found = np.array([fingerprint(x, shingle, seed) for x in block.column("text").to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([block.column("doc_id"), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+            block = block.drop_columns("text")
+            yield pa.RecordBatch.from_arrays([*block.columns, pa.array(found.view(np.int64))], [*block.schema.names, "fp"])
 
     return run
 
@@ -295,3 +296,26 @@ def near_duplicates(docs: DataFrame, tau: int = 4, shingle: int = 4, seed: int =
     named = store.keep(joined.join(least, "root").select("fp", "component"), "simhash-named")
     digits = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
     return marked.join(named, "fp").select("doc_id", digits, F.col("component").alias("component_id"))
+
+
+def representatives(docs: DataFrame, tau: int = 4, shingle: int = 4, seed: int = 42, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, of which one of each group of near-duplicates
+    stays: the one of the smallest document id (nulls last; then by a hash of the text).
+
+    Texts are shuffled by id only against the rows that go, and not at all while Spark can
+    broadcast those.
+    """
+    key, text = F.col(id_column).cast("long"), F.xxhash64(F.col(text_column).cast("string"))
+    rows = docs.select(key.alias("doc_id"), F.col(text_column).cast("string").alias("text"))
+    marked = store.keep(rows.withColumn("hash", F.xxhash64("text")).mapInArrow(_fingerprints(shingle, seed), "doc_id long, hash long, fp long"), "simhash-documents")
+    distinct = store.keep(marked.groupBy("fp").agg(F.count("*").alias("rows")), "simhash-distinct")
+    stars = store.keep(components(link(distinct, tau)), "simhash-stars")
+    rooted = marked.join(stars.withColumnRenamed("id", "fp"), "fp", "left").select("doc_id", "hash", F.coalesce("component_id", "fp").alias("root"))
+    rooted = store.keep(rooted, "simhash-rooted")
+    first = rooted.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash")).alias("first"))
+    lost = rooted.join(first, "root").where(~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("hash") == F.col("first.hash"))))
+    lost = store.keep(lost.select(F.col("doc_id").alias("__id"), F.col("hash").alias("__hash")).distinct(), "simhash-lost")
+    kept = docs.join(lost, key.eqNullSafe(F.col("__id")) & (text == F.col("__hash")), "left_anti")
+    if rooted.groupBy("doc_id", "hash").count().where("count > 1").isEmpty():
+        return kept
+    return kept.withColumns({"__id": key, "__hash": text}).dropDuplicates(["__id", "__hash"]).drop("__id", "__hash")
