@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from boxstats.llm import bpe, embeddings, lines, packing, pii, quality, simhash, store, token_files, url_reputation
+from boxstats.llm import bpe, embeddings, lines, packing, passages, pii, quality, simhash, store, token_files, url_reputation
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), public.path("byte_bpe_50k.json"), end_id=2, capacity=1024)
 
 
+def op4_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.shared(_table(spark, sf_dir, "documents"))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as public
 
@@ -64,6 +68,6 @@ def op10_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_reputation.judge(_table(spark, sf_dir, "pages"), labels.select(F.col("doc_id").alias("page_id"), bad.alias("bad")))
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op2_embeddings": op2_embeddings, "op3_packing": op3_packing, "op5_token_files": op5_token_files, "op6_lines": op6_lines, "op7_simhash": op7_simhash, "op8_quality": op8_quality, "op9_pii": op9_pii, "op10_url_reputation": op10_url_reputation}
+QUERIES = {"op1_bpe": op1_bpe, "op2_embeddings": op2_embeddings, "op3_packing": op3_packing, "op4_passages": op4_passages, "op5_token_files": op5_token_files, "op6_lines": op6_lines, "op7_simhash": op7_simhash, "op8_quality": op8_quality, "op9_pii": op9_pii, "op10_url_reputation": op10_url_reputation}
 
 ORACLES = {"op6_lines": lines.oracle(), "op10_url_reputation": url_reputation.oracle()}
