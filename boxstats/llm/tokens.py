@@ -14,6 +14,8 @@ import os
 import re
 from array import array
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from itertools import chain
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +28,7 @@ _SPACED = re.compile(rf" ?[^{BLANK}]+|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]").finda
 _WORDS = re.compile(rf"[^{BLANK}]+").findall
 #: Texts that cutting at single spaces and line ends would cut wrongly (in RE2).
 _ODD = r"^[ \n]|[ \n]$|[ \n][ \n]|[\x00\t\x0b\x0c\r\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+MARKS = frozenset(".,;:!?")
 BLOCK_BYTES = 8 << 20
 
 
@@ -46,17 +49,21 @@ class PieceEncoder:
 
     leading_space: a piece is a word with the space before it, or blanks (byte-level
     vocabularies); otherwise words alone (blanks give no ids). encode gives the ids of pieces.
+    lower: the vocabulary ignores the case of A-Z. A mark after a letter is a match of its own
+    in both patterns, so a new piece that ends so is put together from the two.
     The memo is emptied when it holds ``limit`` pieces; results don't depend on it.
     """
 
-    def __init__(self, leading_space: bool, encode: Callable[[list[str]], Iterable[Sequence[int]]], limit: int = 600_000, longest: int = 64):
-        self.leading_space, self.encode, self.limit, self.longest = leading_space, encode, limit, longest
+    def __init__(self, leading_space: bool, encode: Callable[[list[str]], Iterable[Sequence[int]]], lower: bool = False, limit: int = 600_000, longest: int = 64):
+        self.leading_space, self.encode, self.lower, self.limit, self.longest = leading_space, encode, lower, limit, longest
         self.memo: dict[str, bytes] = {}
 
     def cut(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
         """All pieces in a row, and where each text's begin (with the end)."""
         odd = pc.match_substring_regex(texts, _ODD)
         plain = pc.if_else(odd, "", texts)
+        if self.lower:
+            plain = pc.ascii_lower(plain)
         if self.leading_space:
             plain = pc.replace_substring(pc.replace_substring(plain, " ", "\0 "), "\n", "\0\n\0")
         else:
@@ -78,13 +85,17 @@ class PieceEncoder:
         memo = self.memo
         found = list(map(memo.get, distinct))
         missing = [i for i, x in enumerate(found) if x is None]
-        new = [distinct[i] for i in missing]
-        if len(memo) + len(new) > self.limit:
+        if len(memo) + 2 * len(missing) > self.limit:
             memo.clear()
-        for i, piece, ids in zip(missing, new, self.encode(new), strict=True):
-            found[i] = array("I", ids).tobytes()
-            if len(piece) <= self.longest:
-                memo[piece] = found[i]
+        new: dict[str, bytes] = {}
+        cuts = {i: (x[:-1], x[-1]) if x[-1:] in MARKS and x[-2:-1].isalpha() else (x,) for i, x in ((i, distinct[i]) for i in missing)}
+        alone = list({x for cut in cuts.values() for x in cut if x not in memo})
+        for piece, ids in zip(alone, self.encode(alone), strict=True):
+            new[piece] = array("I", ids).tobytes()
+        for i, cut in cuts.items():
+            found[i] = b"".join([new.get(x) or memo.get(x, b"") for x in cut])
+            new[distinct[i]] = found[i]
+        memo.update((x, ids) for x, ids in new.items() if len(x) <= self.longest)
         flat = np.frombuffer(b"".join(found), "<u4")
         lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
         starts = np.cumsum(lengths) - lengths
@@ -95,13 +106,22 @@ class PieceEncoder:
         return ids, np.concatenate(([0], ends))[offsets]
 
 
+def byte_letters() -> dict[int, int]:
+    """The letter that stands for each byte in byte-level vocabularies: a printable one for
+    itself, the others, in order, from U+0100 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: b for b in shown} | {b: 256 + i for i, b in enumerate(hidden)}
+
+
 _ENCODERS: dict[tuple, PieceEncoder] = {}
 
 
 def library_encoder(path: str, leading_space: bool) -> PieceEncoder:
     """An encoder by a file of the tokenizers library, one for each worker process.
 
-    Special tokens' strings are ordinary text.
+    Special tokens' strings are ordinary text. Pieces of one match go to the library's merges
+    directly, others through the whole library.
     """
     if (key := (path, leading_space)) not in _ENCODERS:
         os.environ["TOKENIZERS_PARALLELISM"], os.environ["RAYON_NUM_THREADS"] = "false", "1"
@@ -110,11 +130,25 @@ def library_encoder(path: str, leading_space: bool) -> PieceEncoder:
         library = Tokenizer.from_file(path)
         library.encode_special_tokens = True
 
-        def encode(pieces: list[str]) -> Iterable[Sequence[int]]:
-            for at in range(0, len(pieces), 1000):
-                yield from (x.ids for x in library.encode_batch_fast(pieces[at : at + 1000], add_special_tokens=False))
+        merge, letters = library.model.tokenize, byte_letters()
+        lowers = library.normalizer is not None
 
-        _ENCODERS[key] = PieceEncoder(leading_space, encode)
+        def one_match(piece: str) -> bool:
+            """Letters alone (and the space before) that the library's first steps don't change."""
+            if leading_space:
+                return piece.removeprefix(" ").isalpha()
+            return piece.isalpha() and (not lowers or (piece == piece.lower() and is_normalized("NFC", piece)))
+
+        def encode(pieces: list[str]) -> Iterable[Sequence[int]]:
+            others = [x for x in pieces if not one_match(x)]
+            whole = chain.from_iterable(library.encode_batch_fast(others[at : at + 1000], add_special_tokens=False) for at in range(0, len(others), 1000))
+            for x in pieces:
+                if one_match(x):
+                    yield [t.id for t in merge(x.encode().decode("latin-1").translate(letters))]
+                else:
+                    yield next(whole).ids
+
+        _ENCODERS[key] = PieceEncoder(leading_space, encode, lowers)
     return _ENCODERS[key]
 
 
