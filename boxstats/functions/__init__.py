@@ -1 +1 @@
-
+"""Scalar functions, constants and record types."""
