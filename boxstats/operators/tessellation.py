@@ -6,12 +6,12 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boxstats.functions.scalars import min_image
 from boxstats.operators.mesh import nearest_cell
+from boxstats.operators.neighbours import cells_for, near
 from boxstats.operators.sampling import spheres
 
 
-def substructure(tracers: DataFrame, points: DataFrame, box: float, facets: int = 64) -> DataFrame:
+def substructure(tracers: DataFrame, points: DataFrame, box: float, facets: int = 32) -> DataFrame:
     """tid and parent of tracers of which a point lies in the hull of a more massive one's
     points; hulls are taken greedily, the most massive first, and a tracer swallowed has none.
 
@@ -32,12 +32,15 @@ def substructure(tracers: DataFrame, points: DataFrame, box: float, facets: int
     support = [F.max(d[0] * F.col("ox") + d[1] * F.col("oy") + d[2] * F.col("oz")).alias(f"h{n}") for n, d in enumerate(directions)]
     far = F.max(F.sqrt(F.col("ox") * F.col("ox") + F.col("oy") * F.col("oy") + F.col("oz") * F.col("oz"))).alias("far")
     hulls = own.groupBy(F.col("tid").alias("parent"), F.col("m").alias("pm"), "cx", "cy", "cz").agg(*support, far)
+    hulls = hulls.persist()
     others = points.join(tracers.select(F.col("tid").alias("id2"), "m"), F.col("tid") == F.col("id2")).select("tid", "x", "y", "z", "m")
-    near = None
-    for a in "xyz":
-        term = min_image(F.col(a) - F.col(f"c{a}"), box)
-        near = term * term if near is None else near + term * term
-    met = others.join(hulls, (F.col("m") < F.col("pm")) & (near <= F.col("far") * F.col("far")))
+    reach = hulls.agg(F.max("far")).first()[0]
+    if reach is None:
+        return others.select("tid", F.col("tid").alias("parent")).limit(0)
+    centres = hulls.select(F.col("parent").alias("pid"), F.col("cx").alias("x"), F.col("cy").alias("y"), F.col("cz").alias("z"), "pm", "far", *(f"h{n}" for n in range(facets)))
+    asked = others.select(F.col("tid").alias("oid"), "x", "y", "z", "m")
+    met = near(asked, centres.withColumnRenamed("pid", "tid"), box, cells_for(box, max(reach, 1e-9)), ["pm", "far", *(f"h{n}" for n in range(facets))])
+    met = met.where((F.col("m") < F.col("pm")) & (F.col("r") <= F.col("far"))).withColumnsRenamed({"tid": "parent", "oid": "tid", "tx": "cx", "ty": "cy", "tz": "cz"})
     inside = None
     for n, d in enumerate(directions):
         good = d[0] * offset("x") + d[1] * offset("y") + d[2] * offset("z") <= F.col(f"h{n}")
