@@ -3,10 +3,10 @@
 A sequence of tokens is what the merges make of its bytes exactly if each token is made of its
 own bytes and each two neighbours stay apart when merged as a pair. So the encodings of all
 prefixes of a byte string form a tree: the encoding of a prefix is that of a shorter prefix
-and one token. The transducer reads bytes from the left; its state holds, for the prefixes at
-which a longer token may still begin, the tokens not yet emitted on the way there. Tokens that
-all these ways share are emitted, so the lookahead is bounded by the longest token. States are
-made when they are first reached, and transitions kept; the table is emptied when it is full.
+and one token. The transducer reads bytes from the left; its state holds the prefixes at which
+a longer token may still begin, with the token before each. A token is emitted once the ways to
+all of them go through it, so the lookahead is bounded by the longest token. States are made
+when they are first reached, and transitions kept; the table is emptied when it is full.
 
 Decoding looks up the tokens' bytes block by block and runs them through an incremental UTF-8
 state machine, so that a character cut by a block's end is carried over.
@@ -57,66 +57,83 @@ class Merges:
 
 
 class Transducer:
-    """Bytes to ids. A state is (the last token emitted, the ways not yet emitted): a way has
-    the bytes of a prefix that are behind it and the tokens that lead to it, and the last way
-    is that of the whole prefix."""
+    """Bytes to ids. A state is the set of prefixes at which a longer token may still begin, each
+    as (the last token of its encoding, the bytes behind it), the whole prefix last. A step gives
+    the next state and the last token of the new prefix's encoding; a token is emitted once all
+    prefixes of the state go back through it, at the latest when the input ends."""
 
-    def __init__(self, ranks: dict[bytes, int], limit: int = 200_000):
+    def __init__(self, ranks: dict[bytes, int], limit: int = 300_000):
         self.merges, self.limit = Merges(ranks), limit
+        self.lookahead = 4 * self.merges.longest
         self.clear()
 
     def clear(self) -> None:
-        start = (b"", (((), b""),))
+        start = ((b"", b""),)
         self.number = {start: 0}
-        self.states = [start]
-        self.steps: dict[int, tuple[int, tuple[int, ...]]] = {}
-        self.ends: dict[int, tuple[int, ...]] = {}
+        self.states: list[tuple] = [start]
+        self.steps: list[dict[int, tuple[int, int, int]]] = [{}]
         self.runs: dict[bytes, list[int]] = {}  # whole runs of the transducer
 
-    def _advance(self, state: tuple, byte: bytes) -> tuple[tuple, tuple[bytes, ...]]:
-        """The next state, and what is emitted on the way."""
-        last, ways = state
-        m = self.merges
-        grown = [(path, rest + byte) for path, rest in ways]
-        whole = None
-        for path, rest in grown:  # the one prefix from which a token leads here
-            if rest in m.own and (not (before := path[-1] if path else last) or m.apart(before, rest)):
-                whole = (*path, rest)
-                break
+    def _step(self, at: int, byte: int) -> tuple[int, int, int]:
+        """The next state's number, and the last token's rank and length."""
+        m, new = self.merges, bytes((byte,))
+        alive, whole = [], None
+        for last, rest in self.states[at]:
+            rest += new
+            if whole is None and rest in m.own and (not last or m.apart(last, rest)):
+                whole = rest  # the one prefix from which a token leads here
+            if rest in m.beginnings:
+                alive.append((last, rest))
         assert whole is not None, "each byte must be a token"
-        alive = [(path, rest) for path, rest in grown if rest in m.beginnings]
         alive.append((whole, b""))
-        shared = 0
-        while all(len(path) > shared for path, _ in alive) and len({path[shared] for path, _ in alive}) == 1:
-            shared += 1
-        out = whole[:shared]
-        ways = tuple((path[shared:], rest) for path, rest in alive)
-        needed = any(not path for path, _ in ways)  # else no way will look at the last token
-        return ((out[-1] if out else last) if needed else b"", ways), out
+        state = tuple(alive)
+        to = self.number.get(state)
+        if to is None:
+            to = self.number[state] = len(self.states)
+            self.states.append(state)
+            self.steps.append({})
+        step = self.steps[at][byte] = (to, m.ranks[whole], len(whole))
+        return step
+
+    def _settled(self, at: int, lengths: list[int]) -> int:
+        """How far from the start all prefixes of the state go back through the same places."""
+        ways = []
+        for _, rest in self.states[at]:
+            i, way = len(lengths) - len(rest), set()
+            while i > 0:
+                way.add(i)
+                i -= lengths[i - 1]
+            ways.append(way)
+        return max(set.intersection(*ways), default=0)
+
+    @staticmethod
+    def _emit(tokens_: list[int], lengths: list[int], end: int) -> list[int]:
+        out = []
+        while end > 0:
+            out.append(tokens_[end - 1])
+            end -= lengths[end - 1]
+        return out[::-1]
 
     def encode(self, text: bytes) -> list[int]:
         """The ids of one match of the pattern."""
-        ranks = self.merges.ranks
-        if (whole := ranks.get(text)) is not None:
+        if (whole := self.merges.ranks.get(text)) is not None:
             return [whole]
         if (known := self.runs.get(text)) is not None:
             return known
-        if len(self.states) > self.limit or len(self.runs) > 2 * self.limit:
+        if len(self.states) > self.limit or len(self.runs) > self.limit:
             self.clear()
-        at, out, steps = 0, [], self.steps
+        at, steps, out = 0, self.steps, []
+        last: list[int] = []
+        lengths: list[int] = []
         for byte in text:
-            step = steps.get(at << 8 | byte)
-            if step is None:
-                state, emitted = self._advance(self.states[at], bytes((byte,)))
-                if state not in self.number:
-                    self.number[state] = len(self.states)
-                    self.states.append(state)
-                step = steps[at << 8 | byte] = (self.number[state], tuple(ranks[x] for x in emitted))
-            at = step[0]
-            out += step[1]
-        if at not in self.ends:
-            self.ends[at] = tuple(ranks[x] for x in self.states[at][1][-1][0])
-        out += self.ends[at]
+            step = steps[at].get(byte) or self._step(at, byte)
+            at, token, length = step
+            last.append(token)
+            lengths.append(length)
+            if len(last) > self.lookahead and (done := self._settled(at, lengths)):
+                out += self._emit(last, lengths, done)
+                del last[:done], lengths[:done]
+        out += self._emit(last, lengths, len(last))
         if len(text) <= 32:
             self.runs[text] = out
         return out
@@ -242,10 +259,9 @@ def _digest(path: str, pattern: str):
         encoder, decoder = coder(path, pattern)
         for block in tokens.blocks(batches, "text"):
             ids, at = encoder(block.column("text"))
-            digits = pa.array(ids).cast(pa.string())
             n, told, back = np.diff(at), [], []
             for a, b in pairwise(at.tolist()):
-                told.append(hashlib.sha256(" ".join(digits[a:b].to_pylist()).encode()).hexdigest())
+                told.append(hashlib.sha256(" ".join(map(str, ids[a:b].tolist())).encode()).hexdigest())
                 text = hashlib.sha256()
                 for part in decoder.stream(ids[a:b]):
                     text.update(part.encode())
