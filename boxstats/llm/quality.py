@@ -26,16 +26,19 @@ from boxstats.llm import tokens
 
 GRAM, BITS = 3, 16
 #: Least score, and neutral n-grams added to each text.
-THRESHOLD, NEUTRAL = -0.25, 64
+THRESHOLD, NEUTRAL = -0.75, 64
 #: Labelled documents that the trusted model is fitted on.
 TRUSTED_MOST = 200_000
-#: Added to each bucket of a model.
-SMOOTHING = 0.5
+#: N-grams, dealt out as in the raw model, that are added to the trusted one: with few trusted
+#: texts the two are alike, and an n-gram that none of them has isn't impossible.
+SMOOTHING = 1000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _BLANK = np.zeros(256, bool)
 _BLANK[[32, *range(9, 14)]] = True
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
+_FOLDED = np.arange(256, dtype=np.uint8)
+_FOLDED[48:58] = 48
 WINDOW = 5
 
 
@@ -49,7 +52,9 @@ def _bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _buckets(flat: np.ndarray, gram: int, bits: int) -> np.ndarray:
-    """The bucket of the n-gram that begins at each byte (none at the last ones)."""
+    """The bucket of the n-gram that begins at each byte (none at the last ones); all digits are
+    one, since numbers say nothing of a text."""
+    flat = _FOLDED[flat]
     n = max(0, len(flat) - gram + 1)
     value = np.zeros(n, np.uint64)
     for k in range(gram):
@@ -91,8 +96,11 @@ def fit(docs: DataFrame, trusted: DataFrame, gram: int = GRAM, bits: int = BITS,
         counts[:, bucket] = raw, good
     if not counts[1].any():
         return np.zeros(1 << bits)
-    rates = np.log((counts + SMOOTHING) / (counts.sum(1, keepdims=True) + SMOOTHING * (1 << bits)))
-    return rates[1] - rates[0]
+    share, n = counts[0] / counts[0].sum(), counts[1].sum()
+    seen = share > 0
+    ratio = np.zeros(1 << bits)
+    ratio[seen] = np.log((counts[1][seen] / share[seen] + SMOOTHING) / (n + SMOOTHING))
+    return ratio
 
 
 def repeated_words(words: list[bytes], window: int = WINDOW) -> int:
