@@ -66,6 +66,8 @@ def nearest(queries: DataFrame, tracers: DataFrame, box: float, key: str = "qid"
     left, found = queries, None
     while True:
         seen = near(left, tracers, box, m).select(key, "tid", "r")
+        if m > 3:  # further away, others could be nearer than those seen
+            seen = seen.where(F.col("r") <= box / m)
         if most == 1:
             ranked = seen.groupBy(key).agg(F.min(F.struct("r", "tid")).alias("n")).select(key, F.lit(1).alias("k"), "n.tid", "n.r")
         else:
@@ -74,7 +76,7 @@ def nearest(queries: DataFrame, tracers: DataFrame, box: float, key: str = "qid"
         if m <= 3:
             done = ranked
         else:
-            sure = ranked.groupBy(key).agg(F.max("k").alias("n"), F.max("r").alias("far")).where((F.col("n") == most) & (F.col("far") <= box / m)).select(key)
+            sure = ranked.where(F.col("k") == most).select(key)
             done = ranked.join(sure, key, "left_semi").persist()
             left = left.join(done.select(key).distinct(), key, "left_anti").persist()
         found = done if found is None else found.unionByName(done)
