@@ -194,6 +194,24 @@ def eigenvalues(rows: DataFrame, prefix: str = "t") -> DataFrame:
     return rows.withColumns({"lam1": low, "lam2": 3 * q - low - high, "lam3": high})
 
 
+def anisotropy(rows: DataFrame) -> DataFrame:
+    """alpha: the shear of the eigenvalues lam1..3 over 1 + their sum."""
+    a, b, c = F.col("lam1"), F.col("lam2"), F.col("lam3")
+    shear = ((c - a) * (c - a) + (c - b) * (c - b) + (b - a) * (b - a)) / 2
+    return rows.withColumn("alpha", F.sqrt(shear) / (1 + a + b + c))
+
+
+def acceleration(modes: DataFrame, grid: int) -> DataFrame:
+    """Cells with a1, a2, a3: the field whose divergence is minus the contrast (without a mean),
+    i k / k^2 times its modes, with k = sin(2 pi k / grid)."""
+    s = [F.sin(signed(k, grid) * (2 * math.pi / grid)) for k in MODE]
+    norm = s[0] * s[0] + s[1] * s[1] + s[2] * s[2] + TINY
+    columns = {}
+    for n in range(3):
+        columns |= {f"a{n + 1}": -F.col("im") * s[n] / norm, f"b{n + 1}": F.col("re") * s[n] / norm}
+    return backward(modes.select(*MODE, *(v.alias(k) for k, v in columns.items())), grid, [(f"a{n}", f"b{n}") for n in (1, 2, 3)])
+
+
 def bias(halos: DataFrame, modes: DataFrame, box: float, grid: int, edges: Sequence[float], key: str = "id") -> DataFrame:
     """key, bin, n_modes, pk and bk of each object and shell: L^3 Re<e^{-ikx} d> over the power.
     Modes of the shells are few and go to every task; each object meets them once."""

@@ -211,6 +211,24 @@ def tidal_eigenvalues(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _field(spectral.eigenvalues(_tensors(spark, sf_dir, "tidal")), "lam1", "lam2", "lam3")
 
 
+@query(f", {_MM}, {_SMOOTHED}, {_tensor('tidal')}, {_EIG.format('ten')}, l as (select ix, iy, iz, lam1, 3 * q - lam1 - lam3 as lam2, lam3 from eig) select ix, iy, iz, {sql_round('sqrt((pow(lam3 - lam1, 2) + pow(lam3 - lam2, 2) + pow(lam2 - lam1, 2)) / 2) / (1 + lam1 + lam2 + lam3)', 5)} as alpha from l")
+def tidal_anisotropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _field(spectral.anisotropy(spectral.eigenvalues(_tensors(spark, sf_dir, "tidal"))), "alpha", digits=5)
+
+
+def _pull() -> str:
+    s = [f"sin({_signed(k)} * (2 * pi() / {G}))" for k in ("kx", "ky", "kz")]
+    norm = "(" + " + ".join(f"{x} * {x}" for x in s) + " + 1e-15)"
+    columns = ", ".join(f"-im * {x} / {norm} as a{n}, re * {x} / {norm} as b{n}" for n, x in enumerate(s, 1))
+    return f"ad as (select kx, ky, kz, {columns} from sm), {sql_transform('acc', 'ad', 'k', 'i', -1, [(f'a{n}', f'b{n}') for n in (1, 2, 3)], '1e0')}"
+
+
+@query(f", {_MM}, {_SMOOTHED}, {_pull()} select ix, iy, iz, {', '.join(f'{sql_round(f"a{n}")} as a{n}' for n in (1, 2, 3))} from acc")
+def acceleration_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    modes = spectral.smoothed(_matter(spark, sf_dir)[0], G, 20.0, BOX)
+    return _field(spectral.acceleration(modes, G), "a1", "a2", "a3")
+
+
 _RADII = (15.0, 25.0, 40.0)
 
 
