@@ -13,10 +13,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents, dealt out to all cores if they come in fewer partitions (a small file)."""
+    docs, cores = _table(spark, sf_dir, "documents"), spark.sparkContext.defaultParallelism
+    return docs if docs.rdd.getNumPartitions() >= cores else docs.repartition(cores)
+
+
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as public
 
-    return bpe.round_trip(_table(spark, sf_dir, "documents"), public.path("byte_bpe_50k.tiktoken"), public.PATTERN)
+    return bpe.round_trip(_documents(spark, sf_dir), public.path("byte_bpe_50k.tiktoken"), public.PATTERN)
 
 
 def op2_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,28 +32,28 @@ def op2_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as public
 
-    return packing.pack(_table(spark, sf_dir, "documents"), public.path("byte_bpe_50k.json"), end_id=2, capacity=1024)
+    return packing.pack(_documents(spark, sf_dir), public.path("byte_bpe_50k.json"), end_id=2, capacity=1024)
 
 
 def op4_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return passages.shared(_table(spark, sf_dir, "documents"))
+    return passages.shared(_documents(spark, sf_dir))
 
 
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as public
 
     path = store.place(spark, "token-files")
-    token_files.write(_table(spark, sf_dir, "documents"), path, public.path("word_bpe_49k.json"), end_id=1)
+    token_files.write(_documents(spark, sf_dir), path, public.path("word_bpe_49k.json"), end_id=1)
     return token_files.digest(token_files.read(spark, path))
 
 
 def op6_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = lines.cleaned(_table(spark, sf_dir, "documents"), count_columns=("n_lines", "n_dropped"))
+    cleaned = lines.cleaned(_documents(spark, sf_dir), count_columns=("n_lines", "n_dropped"))
     return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("text_sha256"))
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return simhash.near_duplicates(_documents(spark, sf_dir))
 
 
 def trusted_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,11 +61,11 @@ def trusted_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.judge(_table(spark, sf_dir, "documents"), trusted_documents(spark, sf_dir))
+    return quality.judge(_documents(spark, sf_dir), trusted_documents(spark, sf_dir))
 
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.find(_table(spark, sf_dir, "documents"))
+    return pii.find(_documents(spark, sf_dir))
 
 
 def op10_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
