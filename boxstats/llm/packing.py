@@ -16,6 +16,7 @@ an empty one; other columns are not looked at.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 from zlib import crc32
 
@@ -73,20 +74,27 @@ def best_fit(counts: list[int], capacity: int) -> list[tuple[int, tuple[int, ...
     return [x for groups in open_.values() for x in groups]
 
 
-def completions(counts: list[int], sizes: list[int], space: int, most: int, steps: int) -> list[tuple[int, ...]]:
+def completions(counts: list[int], sizes: list[int], space: int, most: int, steps: int) -> tuple[list[tuple[int, ...]], int]:
     """Undominated ways to fill ``space`` with pieces that are there, the least waste first.
 
     A filling is dominated if a larger piece could stand for one of its pieces, or one piece
     for two of them, without more waste; so only fillings are made to which no piece can be
     added, each from the largest piece down, and one piece that fills the space ends the
-    search. At most ``steps`` steps and ``most`` ways; ties go to the fewer, larger pieces.
+    search. At most ``steps`` steps and ``most`` ways; ties go to the fewer, larger pieces. Also
+    returns the steps made.
     """
     if space and counts[space]:
-        return [(space,)]
+        return [(space,)], 1
     found: dict[tuple[int, ...], int] = {}
     left = steps
     used: dict[int, int] = {}
-    smallest = sizes[-1] if sizes else space + 1
+    falling = [-x for x in sizes]
+
+    def fits(room: int, at: int) -> bool:
+        for k in range(len(sizes) - 1, at - 1, -1):  # the smallest are there most often
+            if counts[sizes[k]] > used.get(sizes[k], 0):
+                return sizes[k] <= room
+        return False
 
     def dominated(held: tuple[int, ...], waste: int) -> bool:
         for i, a in enumerate(held):
@@ -101,7 +109,8 @@ def completions(counts: list[int], sizes: list[int], space: int, most: int, step
         """Whether to stop: enough ways without waste, or steps used up."""
         nonlocal left
         left -= 1
-        if room < smallest or not any(counts[x] > used.get(x, 0) for x in sizes[at:] if x <= room):
+        at = max(at, bisect_left(falling, -room))
+        if not fits(room, at):
             if len(held) > 12 or not dominated(held, room):
                 found[held] = room
             return sum(not x for x in found.values()) >= most
@@ -110,7 +119,7 @@ def completions(counts: list[int], sizes: list[int], space: int, most: int, step
             return sum(not x for x in found.values()) >= most
         for k in range(at, len(sizes)):
             x = sizes[k]
-            if x > room or counts[x] <= used.get(x, 0):
+            if counts[x] <= used.get(x, 0):
                 continue
             used[x] = used.get(x, 0) + 1
             stop = fill(room - x, k, (*held, x))
@@ -119,16 +128,16 @@ def completions(counts: list[int], sizes: list[int], space: int, most: int, step
                 return True
         return False
 
-    start = int(np.searchsorted([-x for x in sizes], -space))
-    fill(space, start, ())
+    fill(space, 0, ())
     ways = sorted(found, key=lambda held: (found[held], len(held), [-x for x in held]))
-    return ways[:most]
+    return ways[:most], steps - left
 
 
-def complete(counts: list[int], capacity: int, nodes: int = 6000, ways: int = 4, steps: int = 400) -> list[tuple[int, tuple[int, ...]]]:
+def complete(counts: list[int], capacity: int, nodes: int = 4000, ways: int = 4, steps: int = 100) -> list[tuple[int, tuple[int, ...]]]:
     """A packing with as few sequences as the search finds: (how often, lengths), ...
 
-    counts: pieces by length, 0 to capacity. nodes bounds the branches visited; the incumbent
+    counts: pieces by length, 0 to capacity. nodes bounds the branches visited (ten steps of
+    enumerating count as one); the incumbent
     (best-fit decreasing at first) is always a whole packing, so a bound reached costs
     sequences at most, never pieces.
     """
@@ -142,12 +151,14 @@ def complete(counts: list[int], capacity: int, nodes: int = 6000, ways: int = 4,
     stack: list[Iterator] = []
 
     def branch() -> Iterator[tuple[int, tuple[int, ...]]]:
+        nonlocal nodes
         sizes = [x for x in range(capacity, 0, -1) if now[x]]
         first = sizes[0]
         now[first] -= 1
-        fills = completions(now, [x for x in sizes if now[x]], capacity - first, ways, steps) or [()]
+        fills, made = completions(now, [x for x in sizes if now[x]], capacity - first, ways, steps)
+        nodes -= made // 10
         now[first] += 1
-        for fill in fills:
+        for fill in fills or [()]:
             held = (first, *fill)
             yield min(now[x] // held.count(x) for x in set(held)), held
 

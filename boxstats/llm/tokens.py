@@ -10,6 +10,7 @@ encoding whole texts, with the same ids.
 from __future__ import annotations
 
 import base64
+import ctypes
 import os
 import re
 from array import array
@@ -29,7 +30,7 @@ _WORDS = re.compile(rf"[^{BLANK}]+").findall
 #: Texts that cutting at single spaces and line ends would cut wrongly (in RE2).
 _ODD = r"^[ \n]|[ \n]$|[ \n][ \n]|[\x00\t\x0b\x0c\r\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 MARKS = frozenset(".,;:!?")
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 
 
 def blocks(batches: Iterable[pa.RecordBatch], column: str, most: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
@@ -42,6 +43,16 @@ def blocks(batches: Iterable[pa.RecordBatch], column: str, most: int = BLOCK_BYT
         for a, b in zip(cuts, cuts[1:], strict=False):
             if b > a:
                 yield batch.slice(a, b - a)
+        del batch
+    _give_back()
+
+
+def _give_back() -> None:
+    """Free memory goes back to the system: worker processes live on for other stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 class PieceEncoder:
@@ -54,7 +65,7 @@ class PieceEncoder:
     The memo is emptied when it holds ``limit`` pieces; results don't depend on it.
     """
 
-    def __init__(self, leading_space: bool, encode: Callable[[list[str]], Iterable[Sequence[int]]], lower: bool = False, limit: int = 600_000, longest: int = 64):
+    def __init__(self, leading_space: bool, encode: Callable[[list[str]], Iterable[Sequence[int]]], lower: bool = False, limit: int = 300_000, longest: int = 64):
         self.leading_space, self.encode, self.lower, self.limit, self.longest = leading_space, encode, lower, limit, longest
         self.memo: dict[str, bytes] = {}
 
@@ -97,12 +108,13 @@ class PieceEncoder:
             new[distinct[i]] = found[i]
         memo.update((x, ids) for x, ids in new.items() if len(x) <= self.longest)
         flat = np.frombuffer(b"".join(found), "<u4")
-        lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        starts = np.cumsum(lengths) - lengths
+        lengths = np.fromiter(map(len, found), np.int32, len(found)) // 4
+        starts = np.cumsum(lengths, dtype=np.int32) - lengths
         each = lengths[which]
-        ends = np.cumsum(each)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = flat[np.repeat(starts[which] - ends + each, each) + np.arange(total)]
+        ends = np.cumsum(each, dtype=np.int32)  # a block has far fewer ids
+        places = np.repeat(starts[which] - ends + each, each)
+        places += np.arange(len(places), dtype=np.int32)
+        ids = flat[places]
         return ids, np.concatenate(([0], ends))[offsets]
 
 
