@@ -169,6 +169,28 @@ def test_passages(spark):
     assert passages.shared(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_passage_of_lines_that_stand_alone_elsewhere(spark):
+    rng = random.Random(3)
+
+    def prose(n):
+        return ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 6))) for _ in range(n)]
+
+    rows, pairs, n = [], [], 0
+    for _ in range(12):
+        lines_ = prose(rng.randint(26, 45)), prose(rng.randint(26, 45))
+        pairs.append((n, n + 1))
+        for _ in range(2):
+            rows.append((n, " ".join(prose(70) + lines_[0] + lines_[1] + prose(70))))
+            n += 1
+        for line in lines_:
+            for _ in range(12):  # both ends of the order of keys, nearly always
+                rows.append((n, " ".join(prose(70) + line + prose(70))))
+                n += 1
+    found = passages.shared(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(min(r.doc_id, r.other_id), max(r.doc_id, r.other_id)) for r in found} == set(pairs)
+    assert all(r.start_word <= 71 and r.end_word >= 120 for r in found)
+
+
 def test_lines(spark, duck, data, compare):
     rows = [(i, f"own {i}\nshared\n\n  \nshared" + ("\nrare" if i < 2 else ""), "a", 5, "x") for i in range(20)] + [(30, "shared", None, 1, "x"), (31, None, "a", None, "x"), (32, "shared", "b", 6, "x"), (33, "shared", "a", 6, "x"), (33, "shared", "a", 6, "x")]
     frame = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long, host string")
