@@ -191,6 +191,15 @@ def test_passage_of_lines_that_stand_alone_elsewhere(spark):
     assert all(r.start_word <= 71 and r.end_word >= 120 for r in found)
 
 
+def test_passage_with_changes_near_its_ends():
+    a, b = np.arange(1000, 1200, dtype=np.uint64), np.arange(5000, 5200, dtype=np.uint64)
+    b[60:115] = a[60:115]
+    b[105:107] = 1, 2  # 45 equal, 2 changed, 8 equal
+    assert passages.passages(a, b, [70], [70]) == [(60, 115, 60, 115, 53)]
+    b[107:115] = 3  # 45 equal words alone aren't enough
+    assert passages.passages(a, b, [70], [70]) == []
+
+
 def test_lines(spark, duck, data, compare):
     rows = [(i, f"own {i}\nshared\n\n  \nshared" + ("\nrare" if i < 2 else ""), "a", 5, "x") for i in range(20)] + [(30, "shared", None, 1, "x"), (31, None, "a", None, "x"), (32, "shared", "b", 6, "x"), (33, "shared", "a", 6, "x"), (33, "shared", "a", 6, "x")]
     frame = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long, host string")
