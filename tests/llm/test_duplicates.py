@@ -191,6 +191,26 @@ def test_passage_of_lines_that_stand_alone_elsewhere(spark):
     assert all(r.start_word <= 71 and r.end_word >= 120 for r in found)
 
 
+def test_passage_with_a_line_that_stands_alone_before(spark):
+    rng = random.Random(5)
+
+    def prose(n):
+        return ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 6))) for _ in range(n)]
+
+    rows, planted = [], []
+    for n in range(0, 60, 2):
+        line, head, tail = prose(30), prose(18), prose(18)
+        passage = head + line + tail
+        change = list(passage)
+        change[24] = change[41] = "zzz"  # no run of 50 words is the same
+        rows.append((n, " ".join(prose(80) + line + prose(90) + passage + prose(70))))
+        rows.append((n + 1, " ".join(prose(90) + line + prose(80) + change + prose(70))))
+        planted.append((n, n + 1))
+    found = passages.shared(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    whole = {(min(r.doc_id, r.other_id), max(r.doc_id, r.other_id)) for r in found if r.end_word - r.start_word >= 60}
+    assert whole <= set(planted) and len(whole) >= 27
+
+
 def test_passage_with_changes_near_its_ends():
     a, b = np.arange(1000, 1200, dtype=np.uint64), np.arange(5000, 5200, dtype=np.uint64)
     b[60:115] = a[60:115]
