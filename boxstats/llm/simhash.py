@@ -35,6 +35,8 @@ TILE = 512
 SAMPLE = 2000
 #: Candidates that a task verifies at once.
 AT_ONCE = 1 << 21
+#: Bands, and MinHashes of each, by which texts with similar shingles meet.
+BANDS, ROWS = 24, 4
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
@@ -305,13 +307,18 @@ def representatives(docs: DataFrame, tau: int = 4, shingle: int = 4, seed: int =
     Texts are shuffled by id only against the rows that go, and not at all while Spark can
     broadcast those.
     """
-    key, text = F.col(id_column).cast("long"), F.xxhash64(F.col(text_column).cast("string"))
+    key = F.col(id_column).cast("long")
     rows = docs.select(key.alias("doc_id"), F.col(text_column).cast("string").alias("text"))
     marked = store.keep(rows.withColumn("hash", F.xxhash64("text")).mapInArrow(_fingerprints(shingle, seed), "doc_id long, hash long, fp long"), "simhash-documents")
     distinct = store.keep(marked.groupBy("fp").agg(F.count("*").alias("rows")), "simhash-distinct")
     stars = store.keep(components(link(distinct, tau)), "simhash-stars")
     rooted = marked.join(stars.withColumnRenamed("id", "fp"), "fp", "left").select("doc_id", "hash", F.coalesce("component_id", "fp").alias("root"))
-    rooted = store.keep(rooted, "simhash-rooted")
+    return _firsts(docs, store.keep(rooted, "simhash-rooted"), id_column, text_column)
+
+
+def _firsts(docs: DataFrame, rooted: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """One row of ``docs`` of each root; rooted: doc_id, hash (of the text) and root of all rows."""
+    key, text = F.col(id_column).cast("long"), F.xxhash64(F.col(text_column).cast("string"))
     first = rooted.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash")).alias("first"))
     lost = rooted.join(first, "root").where(~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("hash") == F.col("first.hash"))))
     lost = store.keep(lost.select(F.col("doc_id").alias("__id"), F.col("hash").alias("__hash")).distinct(), "simhash-lost")
@@ -319,3 +326,95 @@ def representatives(docs: DataFrame, tau: int = 4, shingle: int = 4, seed: int =
     if rooted.groupBy("doc_id", "hash").count().where("count > 1").isEmpty():
         return kept
     return kept.withColumns({"__id": key, "__hash": text}).dropDuplicates(["__id", "__hash"]).drop("__id", "__hash")
+
+
+# --- near-duplicates by the shingles themselves -----------------------------------------------
+
+
+def shingles(text: str | None, shingle: int, seed: int = 42) -> np.ndarray:
+    """The distinct hashes of a text's shingles, sorted; words and shingles as for fingerprints."""
+    from xxhash import xxh64_intdigest
+
+    words = (text or "").encode().translate(_LOWER).split()
+    n = max(1, len(words) - shingle + 1) if words else 0
+    return np.unique(np.fromiter((xxh64_intdigest(b" ".join(words[i : i + shingle]), seed) for i in range(n)), np.uint64, n))
+
+
+def bands(hashes: np.ndarray, n: int = BANDS, rows: int = ROWS) -> np.ndarray:
+    """A hash of each band of ``rows`` MinHashes; none of no shingles."""
+    if not len(hashes):
+        return np.empty(0, np.int64)
+    mixed = np.random.default_rng(7).integers(0, 2**63, (n * rows, 2), np.uint64)
+    least = np.array([((hashes ^ a) * (b | np.uint64(1)) >> np.uint64(20)).min() for a, b in mixed], np.uint64).reshape(n, rows)
+    value = np.zeros(n, np.uint64)
+    for column in least.T:
+        value = (value ^ column) * np.uint64(0x9E3779B97F4A7C15)
+        value ^= value >> np.uint64(29)
+    return value.view(np.int64)
+
+
+def _banded(shingle: int, seed: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from xxhash import xxh3_64_intdigest
+
+        for block in tokens.blocks(batches, "text"):
+            sets = [shingles(x, shingle, seed) for x in block.column("text").to_pylist()]
+            names = np.array([xxh3_64_intdigest(x.tobytes()) for x in sets], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([block.column("doc_id"), block.column("hash"), pa.array(names), pa.array([bands(x) for x in sets], pa.list_(pa.int64()))], ["doc_id", "hash", "name", "bands"])
+
+    return run
+
+
+def _alike(shingle: int, seed: int, similarity: float):
+    """Of rows (a, b, text_a, text_b) sorted by a, the pairs similar enough."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, left = None, np.empty(0, np.uint64)
+        for batch in batches:
+            good = np.zeros(batch.num_rows, bool)
+            for i, a in enumerate(batch.column("a").to_pylist()):
+                if a != last:
+                    last, left = a, shingles(batch.column("text_a")[i].as_py(), shingle, seed)
+                right = shingles(batch.column("text_b")[i].as_py(), shingle, seed)
+                both = len(np.intersect1d(left, right, assume_unique=True))
+                good[i] = both >= similarity * (len(left) + len(right) - both) - 1e-9
+            yield batch.select(["a", "b"]).filter(pa.array(good))
+
+    return run
+
+
+def similar_representatives(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, seed: int = 42, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """As ``representatives``, with groups connected by texts whose sets of shingles have a Jaccard
+    similarity of at least ``similarity``; texts without words are alike.
+
+    A fingerprint's bits can't tell such pairs from others (at 0.8 some ten of 64 differ), so
+    candidates come from bands of MinHashes: of pairs of 0.8 all but 3 in a million meet. Each
+    link is verified by the shingles. A band's texts are first verified against its smallest,
+    then, pair by pair, those that this hasn't connected; none are left out.
+    """
+    key = F.col(id_column).cast("long")
+    rows = docs.select(key.alias("doc_id"), F.col(text_column).cast("string").alias("text")).withColumn("hash", F.xxhash64("text"))
+    marked = store.keep(rows.select("doc_id", "hash", "text").mapInArrow(_banded(shingle, seed), "doc_id long, hash long, name long, bands array<long>"), "similar-documents")
+    distinct = marked.groupBy("name").agg(F.min("hash").alias("hash"))
+    banded = marked.join(distinct, ["name", "hash"]).dropDuplicates(["name"]).select("name", F.posexplode("bands").alias("band", "value"))
+    crowd = banded.groupBy("band", "value").agg(F.min("name").alias("low"), F.count("*").alias("n")).where("n > 1").drop("n")
+    members = store.keep(banded.join(crowd, ["band", "value"]), "similar-bands")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        pairs = store.keep(pairs.distinct(), "similar-pairs")
+        names = pairs.select(F.col("a").alias("name")).union(pairs.select(F.col("b").alias("name"))).distinct()
+        texts = store.keep(rows.select("hash", "text").join(distinct.join(names, "name"), "hash").dropDuplicates(["name"]).select("name", "text"), "similar-texts")
+        a, b = (texts.select(F.col("name").alias(c), F.col("text").alias(f"text_{c}")) for c in ("a", "b"))
+        met = pairs.join(b, "b").join(a, "a").select("a", "b", "text_a", "text_b").sortWithinPartitions("a")
+        return store.keep(met.mapInArrow(_alike(shingle, seed, similarity), "a long, b long"), "similar-links")
+
+    links = verified(members.where("name <> low").select(F.col("low").alias("a"), F.col("name").alias("b")))
+    stars = store.keep(components(links), "similar-stars")
+    apart = members.join(stars.withColumnRenamed("id", "name"), "name", "left").select("band", "value", "low", "name", F.coalesce("component_id", "name").alias("root"))
+    several = apart.groupBy("band", "value").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1").select("band", "value")
+    apart = store.keep(apart.where("name <> low").join(several, ["band", "value"]).drop("low"), "similar-apart")
+    other = apart.select("band", "value", F.col("name").alias("b"), F.col("root").alias("root_b"))
+    more = verified(apart.withColumnRenamed("name", "a").join(other, ["band", "value"]).where("a < b and root <> root_b").select("a", "b"))
+    stars = store.keep(components(links.union(more)), "similar-stars")
+    rooted = marked.join(stars.withColumnRenamed("id", "name"), "name", "left").select("doc_id", "hash", F.coalesce("component_id", "name").alias("root"))
+    return _firsts(docs, store.keep(rooted, "similar-rooted"), id_column, text_column)

@@ -84,6 +84,35 @@ def test_simhash(spark, documents, monkeypatch):
     assert simhash.near_duplicates(frame.limit(0)).count() == simhash.representatives(frame.limit(0)).count() == 0
 
 
+def test_pipeline_drops_similar_documents(spark, documents):
+    import corpus_pipeline
+
+    rng = random.Random(9)
+    rows = list(documents)
+    for i in range(6000, 6120, 4):  # chains of copies, some over 0.8 alike and some under
+        words = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(200)]
+        for j in range(4):
+            rows.append((i + j, " ".join(words), 0))
+            for _ in range(rng.choice([2, 4, 6])):
+                words[rng.randrange(200)] = "changed"
+    sets = []
+    for _, text, _ in rows:
+        words = re.findall("[^\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        sets.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set())
+    union = Union(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                union.link(i, j)
+    least: dict[int, int] = {}
+    for i, (d, _, _) in enumerate(rows):
+        least[union.find(i)] = min(d, least.get(union.find(i), d))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, fp int").repartition(3)
+    kept = corpus_pipeline.simhash_dedup(spark, frame, "").collect()
+    assert sorted(r.doc_id for r in kept) == sorted(least.values()) and kept[0].__fields__ == ["doc_id", "text", "fp"]
+    assert corpus_pipeline.simhash_dedup(spark, frame.limit(0), "").count() == 0
+
+
 @pytest.mark.parametrize(("tau", "n"), [(2, 10**9), (3, 200_000), (4, 10**8)])
 def test_pigeonhole_finds_all(spark, monkeypatch, tau, n):
     rng = random.Random(tau)
