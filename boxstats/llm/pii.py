@@ -101,8 +101,8 @@ def base_spans(text: str) -> list[Span]:
 
 # --- candidates of further kinds --------------------------------------------------------------
 
-#: (kind, characters one of which a text needs, pattern). Runs have bounded lengths, so that a
-#: pattern's time is linear in the text.
+#: (kind, characters one of which a text needs, pattern). Runs have bounded lengths or are
+#: possessive, so that a pattern's time is linear in the text.
 GENERATORS = (
     ("email_written", "tT", re.compile(r"\b[A-Za-z0-9._-]{2,40} ?(?:\[at\]|\(at\)|\{at\}| at ) ?[A-Za-z0-9-]{2,40} ?(?:\[dot\]|\(dot\)|\{dot\}| dot ) ?[A-Za-z]{2,10}\b")),
     ("phone_local", "0123456789", re.compile(r"(?<![0-9])(?:\([0-9]{2,4}\) ?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-][0-9]{3,4}(?![0-9])")),
@@ -110,9 +110,11 @@ GENERATORS = (
     ("iban", "0123456789", re.compile(r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b")),
     ("mac", ":-", re.compile(r"(?<![0-9A-Fa-f:-])[0-9A-Fa-f]{2}(?:[:-][0-9A-Fa-f]{2}){5}(?![0-9A-Fa-f:-])")),
     ("ipv6", ":", re.compile(r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{1,4}:){2,7}:?(?:[0-9A-Fa-f]{1,4}:){0,5}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])")),
-    ("secret", "=:", re.compile(r"(?<=[=:])[ ]?[\"']?[A-Za-z0-9_+/.-]{8,200}[\"']?")),
-    ("key", "0123456789", re.compile(r"(?<![A-Za-z0-9_])(?=[A-Za-z_-]{0,40}[0-9])[A-Za-z0-9_-]{16,100}(?![A-Za-z0-9_])")),
+    ("secret", "=:", re.compile(r"(?<=[=:])[ ]?[\"']?[A-Za-z0-9_+/.-]{8,}+[\"']?")),
+    ("key", "0123456789", re.compile(r"(?<![A-Za-z0-9_])(?=[A-Za-z_-]{0,40}[0-9])[A-Za-z0-9_-]{16,}+")),
 )
+#: Characters of a candidate that are judged; an accepted span goes on to the end of its run.
+JUDGED = {"secret": 200, "key": 100}
 KINDS = tuple(kind for kind, _, _ in GENERATORS)
 _NEEDS = {kind: re.compile(f"[{re.escape(needed)}]") for kind, needed, _ in GENERATORS}
 _SECRET_WORD = re.compile(r"(?:token|passw(?:or)?d|pwd|secret|api[_-]?key|auth|bearer|credential|key)\W{0,4}$", re.IGNORECASE)
@@ -141,6 +143,8 @@ def features(text: str, span: Span) -> list[float]:
     checks; of the context: the characters around and the word before."""
     kind, start, end = span
     body, before, after = text[start:end], text[max(0, start - 24) : start], text[end : end + 1]
+    if kind in JUDGED and len(body) > JUDGED[kind]:
+        body, after = body[: JUDGED[kind]], body[JUDGED[kind]]
     size = len(body)
     digits = sum(c.isdigit() for c in body)
     numbers = "".join(c for c in body if c.isdigit())
