@@ -202,7 +202,7 @@ def test_passage_of_lines_that_stand_alone_elsewhere(spark):
     rng = random.Random(3)
 
     def prose(n):
-        return ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 6))) for _ in range(n)]
+        return ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(5, 8))) for _ in range(n)]
 
     rows, pairs, n = [], [], 0
     for _ in range(12):
@@ -240,6 +240,26 @@ def test_passage_with_a_line_that_stands_alone_before(spark):
     assert whole <= set(planted) and len(whole) >= 27
 
 
+@pytest.mark.parametrize(("changes", "least"), [(6, 40), (9, 39), (12, 37)])
+def test_passages_down_to_the_share(changes, least):
+    rng, found = np.random.default_rng(changes), 0
+    for _ in range(40):
+        a, b = rng.integers(1, 2**62, (2, 220)).astype(np.uint64)
+        b[80:140] = a[80:140]
+        b[80 + rng.choice(60, changes, False)] = 1
+        (sa, xa), (sb, xb) = passages.seeds(a), passages.seeds(b)
+        met = sorted((int(i), int(j)) for s, i in zip(sa, xa, strict=True) for t, j in zip(sb, xb, strict=True) if s == t)
+        if met:
+            x, y = map(np.array, zip(*met, strict=True))
+            m = passages.MARGIN
+            for c in passages.chains(x, y, span=passages.span_of(50)):
+                low, high = x[c[0]] - m, x[c[-1]] + passages.K + m
+                if passages.passages(a[max(0, low) : high], b[max(0, low) : high], (x[c] - max(0, low)).tolist(), (y[c] - max(0, low)).tolist()):
+                    found += 1
+                    break
+    assert found >= least
+
+
 def test_passage_with_changes_near_its_ends():
     a, b = np.arange(1000, 1200, dtype=np.uint64), np.arange(5000, 5200, dtype=np.uint64)
     b[60:115] = a[60:115]
