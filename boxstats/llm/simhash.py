@@ -37,6 +37,8 @@ SAMPLE = 2000
 AT_ONCE = 1 << 21
 #: Bands, and MinHashes of each, by which texts with similar shingles meet.
 BANDS, ROWS = 24, 4
+#: Texts of a band that the others are verified against first; links don't depend on it.
+PIVOTS = 6
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
@@ -389,7 +391,7 @@ def similar_representatives(docs: DataFrame, similarity: float = 0.8, shingle: i
 
     A fingerprint's bits can't tell such pairs from others (at 0.8 some ten of 64 differ), so
     candidates come from bands of MinHashes: of pairs of 0.8 all but 3 in a million meet. Each
-    link is verified by the shingles. A band's texts are first verified against its smallest,
+    link is verified by the shingles. A band's texts are first verified against a few of them,
     then, pair by pair, those that this hasn't connected; none are left out.
     """
     key = F.col(id_column).cast("long")
@@ -397,7 +399,7 @@ def similar_representatives(docs: DataFrame, similarity: float = 0.8, shingle: i
     marked = store.keep(rows.select("doc_id", "hash", "text").mapInArrow(_banded(shingle, seed), "doc_id long, hash long, name long, bands array<long>"), "similar-documents")
     distinct = marked.groupBy("name").agg(F.min("hash").alias("hash"))
     banded = marked.join(distinct, ["name", "hash"]).dropDuplicates(["name"]).select("name", F.posexplode("bands").alias("band", "value"))
-    crowd = banded.groupBy("band", "value").agg(F.min("name").alias("low"), F.count("*").alias("n")).where("n > 1").drop("n")
+    crowd = banded.groupBy("band", "value").agg(F.array_distinct(F.array(*[F.min(F.struct(F.xxhash64("name", F.lit(i)), "name")).getField("name") for i in range(PIVOTS)])).alias("pivots"), F.count("*").alias("n")).where("n > 1").drop("n")
     members = store.keep(banded.join(crowd, ["band", "value"]), "similar-bands")
 
     def verified(pairs: DataFrame) -> DataFrame:
@@ -408,11 +410,11 @@ def similar_representatives(docs: DataFrame, similarity: float = 0.8, shingle: i
         met = pairs.join(b, "b").join(a, "a").select("a", "b", "text_a", "text_b").sortWithinPartitions("a")
         return store.keep(met.mapInArrow(_alike(shingle, seed, similarity), "a long, b long"), "similar-links")
 
-    links = verified(members.where("name <> low").select(F.col("low").alias("a"), F.col("name").alias("b")))
+    links = verified(members.select("name", F.explode("pivots").alias("pivot")).where("name <> pivot").select(F.least("name", "pivot").alias("a"), F.greatest("name", "pivot").alias("b")))
     stars = store.keep(components(links), "similar-stars")
-    apart = members.join(stars.withColumnRenamed("id", "name"), "name", "left").select("band", "value", "low", "name", F.coalesce("component_id", "name").alias("root"))
+    apart = members.join(stars.withColumnRenamed("id", "name"), "name", "left").select("band", "value", "name", F.coalesce("component_id", "name").alias("root"))
     several = apart.groupBy("band", "value").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1").select("band", "value")
-    apart = store.keep(apart.where("name <> low").join(several, ["band", "value"]).drop("low"), "similar-apart")
+    apart = store.keep(apart.join(several, ["band", "value"]), "similar-apart")
     other = apart.select("band", "value", F.col("name").alias("b"), F.col("root").alias("root_b"))
     more = verified(apart.withColumnRenamed("name", "a").join(other, ["band", "value"]).where("a < b and root <> root_b").select("a", "b"))
     stars = store.keep(components(links.union(more)), "similar-stars")
