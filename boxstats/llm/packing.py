@@ -133,7 +133,7 @@ def completions(counts: list[int], sizes: list[int], space: int, most: int, step
     return ways[:most], steps - left
 
 
-def complete(counts: list[int], capacity: int, nodes: int = 4000, ways: int = 4, steps: int = 100) -> list[tuple[int, tuple[int, ...]]]:
+def complete(counts: list[int], capacity: int, nodes: int = 20000, ways: int = 4, steps: int = 1000) -> list[tuple[int, tuple[int, ...]]]:
     """A packing with as few sequences as the search finds: (how often, lengths), ...
 
     counts: pieces by length, 0 to capacity. nodes bounds the branches visited (ten steps of

@@ -163,3 +163,14 @@ def test_packing_places_every_token(spark, docs):
     ids = [*library.encode("word " * 3000, add_special_tokens=False).ids, 2]
     assert [x for r in long for x in r.ids] == ids and all(r.length == 1024 for r in long[1:]) and [r.start for r in long] == [0, *range(long[0].length, len(ids), 1024)]
     assert packing.pack(docs.limit(0), public.path("byte_bpe_50k.json"), end_id=2).count() == 0
+
+
+def test_packing_search_reaches_the_bound():
+    import random
+
+    from boxstats.llm import packing
+
+    rng, counts = random.Random(4), [0] * 201
+    for _ in range(600):
+        counts[min(200, max(5, int(rng.lognormvariate(4.2, 0.6))))] += 1
+    assert sum(t for t, _ in packing.complete(counts, 200)) == 235 == max(-(-sum(i * n for i, n in enumerate(counts)) // 200), sum(counts[101:]))
