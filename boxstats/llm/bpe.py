@@ -15,7 +15,8 @@ state machine, so that a character cut by a block's end is carried over.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable, Iterator, Sequence
+from array import array
+from collections.abc import Iterator
 from itertools import pairwise
 
 import numpy as np
@@ -30,7 +31,8 @@ class Merges:
     """What the ranks say of short byte strings."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        self.ranks = ranks
+        self.ranks, self.tokens = ranks, {rank: token for token, rank in ranks.items()}
+        self.halves: dict[int, tuple[int, ...] | None] = {}
         self.own = {x for x in ranks if self.merge(x) == [x]}  # made of its own bytes
         self.longest = max(map(len, ranks))
         self.beginnings = {x[:i] for x in self.own for i in range(1, len(x))}
@@ -39,22 +41,54 @@ class Merges:
     def merge(self, text: bytes) -> list[bytes]:
         """The merges one by one, the lowest rank first, then the leftmost."""
         parts = [text[i : i + 1] for i in range(len(text))]
-        none = len(self.ranks)
-        while len(parts) > 1:
-            rank, at = min((self.ranks.get(a + b, none), i) for i, (a, b) in enumerate(pairwise(parts)))
-            if rank == none:
-                break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        while (fewer := self._merged(parts)) is not parts:
+            parts = fewer
         return parts
 
+    def _merged(self, parts: list[bytes]) -> list[bytes]:
+        """The parts after one more merge; the same list if there is none."""
+        none = len(self.ranks)
+        rank, at = min(((self.ranks.get(a + b, none), i) for i, (a, b) in enumerate(pairwise(parts))), default=(none, 0))
+        return parts if rank == none else [*parts[:at], parts[at] + parts[at + 1], *parts[at + 2 :]]
+
+    def _halves(self, token: int) -> tuple[int, int] | None:
+        """The two tokens whose merge makes this one; none of a byte."""
+        if token not in self.halves:
+            text = self.tokens[token]
+            parts = [text[i : i + 1] for i in range(len(text))]
+            while len(parts) > 2:
+                parts = self._merged(parts)
+            self.halves[token] = tuple(self.ranks[x] for x in parts) if len(parts) == 2 else None
+        return self.halves[token]
+
     def apart(self, a: bytes, b: bytes) -> bool:
-        """Whether the merges leave a and b as they are, one after the other."""
+        """Whether the merges leave a and b as they are, one after the other.
+
+        The merges inside a and b are undone from the last one back. At each stage two tokens
+        stand on either side of the border; if they have a merge that comes before the one
+        undone last (which was made of the left one's or the right one's halves, and of equal
+        ranks the leftmost goes first), it would have joined a and b.
+        """
         if (known := self.pairs.get((a, b))) is None:
             if len(self.pairs) > 500_000:
                 self.pairs.clear()
-            known = self.pairs[a, b] = self.merge(a + b) == [a, b]
+            known = self.pairs[a, b] = self._apart(a, b)
         return known
 
+    def _apart(self, a: bytes, b: bytes) -> bool:
+        left, right, before = self.ranks[a], self.ranks[b], len(self.ranks)
+        while True:
+            joined = self.ranks.get(self.tokens[left] + self.tokens[right])
+            if joined is not None and joined < before:
+                return False
+            of_left, of_right = self._halves(left), self._halves(right)
+            if of_left and (not of_right or left > right):
+                before, left = left, of_left[1]
+            elif of_right:
+                before, right = right + 1, of_right[0]  # the border is to the left of this merge
+            else:
+                return True
+
 
 class Transducer:
     """Bytes to ids. A state is the set of prefixes at which a longer token may still begin, each
@@ -72,7 +106,6 @@ class Transducer:
         self.number = {start: 0}
         self.states: list[tuple] = [start]
         self.steps: list[dict[int, tuple[int, int, int]]] = [{}]
-        self.runs: dict[bytes, list[int]] = {}  # whole runs of the transducer
 
     def _step(self, at: int, byte: int) -> tuple[int, int, int]:
         """The next state's number, and the last token's rank and length."""
@@ -84,7 +117,8 @@ class Transducer:
                 whole = rest  # the one prefix from which a token leads here
             if rest in m.beginnings:
                 alive.append((last, rest))
-        assert whole is not None, "each byte must be a token"
+        if whole is None:
+            raise ValueError(f"byte {byte} is no token")
         alive.append((whole, b""))
         state = tuple(alive)
         to = self.number.get(state)
@@ -95,47 +129,45 @@ class Transducer:
         step = self.steps[at][byte] = (to, m.ranks[whole], len(whole))
         return step
 
-    def _settled(self, at: int, lengths: list[int]) -> int:
+    def _settled(self, at: int, path: list[tuple[int, int, int]]) -> int:
         """How far from the start all prefixes of the state go back through the same places."""
         ways = []
         for _, rest in self.states[at]:
-            i, way = len(lengths) - len(rest), set()
+            i, way = len(path) - len(rest), set()
             while i > 0:
                 way.add(i)
-                i -= lengths[i - 1]
+                i -= path[i - 1][2]
             ways.append(way)
         return max(set.intersection(*ways), default=0)
 
     @staticmethod
-    def _emit(tokens_: list[int], lengths: list[int], end: int) -> list[int]:
+    def _emit(path: list[tuple[int, int, int]], end: int) -> list[int]:
         out = []
         while end > 0:
-            out.append(tokens_[end - 1])
-            end -= lengths[end - 1]
-        return out[::-1]
+            _, token, length = path[end - 1]
+            out.append(token)
+            end -= length
+        out.reverse()
+        return out
 
     def encode(self, text: bytes) -> list[int]:
         """The ids of one match of the pattern."""
         if (whole := self.merges.ranks.get(text)) is not None:
             return [whole]
-        if (known := self.runs.get(text)) is not None:
-            return known
-        if len(self.states) > self.limit or len(self.runs) > self.limit:
+        if len(self.states) > self.limit:
             self.clear()
-        at, steps, out = 0, self.steps, []
-        last: list[int] = []
-        lengths: list[int] = []
+        at, steps, out, lookahead = 0, self.steps, [], self.lookahead
+        path: list[tuple[int, int, int]] = []
         for byte in text:
-            step = steps[at].get(byte) or self._step(at, byte)
-            at, token, length = step
-            last.append(token)
-            lengths.append(length)
-            if len(last) > self.lookahead and (done := self._settled(at, lengths)):
-                out += self._emit(last, lengths, done)
-                del last[:done], lengths[:done]
-        out += self._emit(last, lengths, len(last))
-        if len(text) <= 32:
-            self.runs[text] = out
+            step = steps[at].get(byte)
+            if step is None:
+                step = self._step(at, byte)
+            path.append(step)
+            at = step[0]
+            if len(path) > lookahead and (done := self._settled(at, path)):
+                out += self._emit(path, done)
+                del path[:done]
+        out += self._emit(path, len(path))
         return out
 
 
@@ -177,6 +209,7 @@ class Decoder:
         table = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             table[rank] = token
+        self.names = list(map(str, range(len(table))))
         self.flat = np.frombuffer(b"".join(table), np.uint8)
         self.length = np.fromiter(map(len, table), np.int64, len(table))
         self.start = np.cumsum(self.length) - self.length
@@ -186,6 +219,10 @@ class Decoder:
         ends = np.cumsum(each)
         return self.flat[np.repeat(self.start[ids] - ends + each, each) + np.arange(ends[-1] if len(ends) else 0)].tobytes()
 
+    def decimal(self, ids: np.ndarray) -> str:
+        """The ids in decimal, joined by one space."""
+        return " ".join(map(self.names.__getitem__, ids.tolist()))
+
     def stream(self, ids: np.ndarray, block: int = 1 << 16) -> Iterator[str]:
         machine = Utf8Machine()
         for at in range(0, len(ids), block):
@@ -204,10 +241,14 @@ def coder(path: str, pattern: str) -> tuple[tokens.PieceEncoder, Decoder]:
         ranks = tokens.read_ranks(path)
         transducer, matches = Transducer(ranks), regex.compile(pattern).findall
 
-        def encode(pieces: list[str]) -> Iterable[Sequence[int]]:
+        def encode(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            ids, counts = array("I"), array("q")
             for piece in pieces:
-                found = [piece] if piece.removeprefix(" ").isalpha() else matches(piece)
-                yield [x for match in found for x in transducer.encode(match.encode())]
+                before = len(ids)
+                for match in [piece] if piece.removeprefix(" ").isalpha() else matches(piece):
+                    ids.extend(transducer.encode(match.encode()))
+                counts.append(len(ids) - before)
+            return np.frombuffer(ids, np.uint32) if ids else np.empty(0, np.uint32), np.frombuffer(counts, np.int64)
 
         _CODERS[key] = tokens.PieceEncoder(True, encode), Decoder(ranks)
     return _CODERS[key]
@@ -261,7 +302,7 @@ def _digest(path: str, pattern: str):
             ids, at = encoder(block.column("text"))
             n, told, back = np.diff(at), [], []
             for a, b in pairwise(at.tolist()):
-                told.append(hashlib.sha256(" ".join(map(str, ids[a:b].tolist())).encode()).hexdigest())
+                told.append(hashlib.sha256(decoder.decimal(ids[a:b]).encode()).hexdigest())
                 text = hashlib.sha256()
                 for part in decoder.stream(ids[a:b]):
                     text.update(part.encode())

@@ -40,10 +40,11 @@ def test_pieces_give_the_librarys_ids(name, spaced):
 
 
 def test_memo_that_overflows():
-    encoder = tokens.PieceEncoder(False, lambda pieces: ([len(x)] for x in pieces), limit=3)
-    for _ in range(3):
-        ids, at = encoder(pa.array(["a bb ccc dddd", "eeeee, a"]))
-        assert ids.tolist() == [1, 2, 3, 4, 5, 1, 1] and at.tolist() == [0, 4, 7]
+    encoder = tokens.PieceEncoder(False, lambda pieces: (np.array(list(map(len, pieces)), np.uint32), np.ones(len(pieces), np.int64)), limit=3, longest=4)
+    for n in range(1, 9):
+        ids, at = encoder(pa.array(["a bb ccc dddd", "eeeee, a", "f" * n]))
+        assert ids.tolist() == [1, 2, 3, 4, 5, 1, 1, n] and at.tolist() == [0, 4, 7, 8]
+        assert all(len(x) <= 4 for x in encoder.young.memo)
 
 
 def test_transducer_is_the_librarys_merging():
