@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -47,3 +48,10 @@ def forget(*tables: DataFrame) -> None:
             if own in folder:
                 path = jvm.org.apache.hadoop.fs.Path(folder)
                 path.getFileSystem(conf).delete(path, True)
+
+
+def sweep(spark: SparkSession) -> None:
+    """Have Spark delete the shuffles that no plan refers to any more. It does so when the driver's
+    garbage is collected, which in a small driver may be long after."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 simhash = pytest.importorskip("boxstats.llm.simhash")
@@ -247,12 +248,12 @@ def test_passages_down_to_the_share(changes, least):
         a, b = rng.integers(1, 2**62, (2, 220)).astype(np.uint64)
         b[80:140] = a[80:140]
         b[80 + rng.choice(60, changes, False)] = 1
-        (sa, xa), (sb, xb) = passages.seeds(a), passages.seeds(b)
+        (sa, xa, _), (sb, xb, _) = (passages.seeds(v, np.array([0, len(v)])) for v in (a, b))
         met = sorted((int(i), int(j)) for s, i in zip(sa, xa, strict=True) for t, j in zip(sb, xb, strict=True) if s == t)
         if met:
             x, y = map(np.array, zip(*met, strict=True))
             m = passages.MARGIN
-            for c in passages.chains(x, y, span=passages.span_of(50)):
+            for c in passages.chains(x, y):
                 low, high = x[c[0]] - m, x[c[-1]] + passages.K + m
                 if passages.passages(a[max(0, low) : high], b[max(0, low) : high], (x[c] - max(0, low)).tolist(), (y[c] - max(0, low)).tolist()):
                     found += 1
@@ -260,6 +261,51 @@ def test_passages_down_to_the_share(changes, least):
     assert found >= least
 
 
+def brute_passage(a: list[str], b: list[str], least: int, share: float) -> bool:
+    """Whether some stretches of both, of ``least`` words or more that begin and end with a word
+    in common, have that share of the longer one's words in common, in order."""
+    same = np.array([[x == y for y in b] for x in a])
+    for i, j in zip(*np.nonzero(same), strict=True):
+        if i and j and same[i - 1, j - 1]:
+            continue  # it is longer with the words before
+        common = np.zeros(len(b) - j + 1, int)
+        for n, row in enumerate(same[i:, j:], 1):
+            common[1:] = np.maximum.accumulate(np.maximum(common[1:], common[:-1] + row))
+            size = np.arange(1, len(b) - j + 1)
+            if (row & (np.minimum(n, size) >= least) & (common[1:] >= share * np.maximum(n, size) - 1e-9)).any():
+                return True
+    return False
+
+
+def test_passages_are_those_of_a_brute_aligner(spark):
+    """Documents in pairs, with passages of 50 to 110 words, unchanged or with words changed, left
+    out and put in; those that local alignment over all words finds are found, 95 of 100 at least,
+    and no other pair is."""
+    rng, rows, near = random.Random(11), [], {}
+    for n in range(0, 240, 2):
+        word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 6)))
+        passage = [word() for _ in range(rng.choice([30, 40, 50, 50, 52, 55, 60, 70, 90, 110]))]
+        copy = list(passage)
+        for _ in range(rng.choice([0, 0, 1, 2, 4, len(copy) // 10, len(copy) // 7])):
+            at, what = rng.randrange(len(copy)), rng.random()
+            copy[at : at + 1] = [word()] if what < 0.7 else [] if what < 0.85 else [copy[at], word()]
+        texts = [[word() for _ in range(rng.randint(0, 70))] + p + [word() for _ in range(rng.randint(0, 70))] for p in (passage, copy)]
+        rows += [(n + i, " ".join(t)) for i, t in enumerate(texts)]
+        near[n, n + 1] = brute_passage(*texts, 50, 0.8)
+    found = passages.shared(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    pairs = {(min(r.doc_id, r.other_id), max(r.doc_id, r.other_id)) for r in found}
+    wanted = {p for p, good in near.items() if good}
+    assert 60 < len(wanted) < 100 and pairs <= wanted and len(pairs) >= 0.95 * len(wanted)
+
+
+def test_seeds_of_a_long_text_and_of_the_same_word():
+    words, bounds = passages.words_of(pa.array([None, "", "A b\tC", " ".join(["x"] * 20000), "a B c", "é É"]))
+    assert np.diff(bounds).tolist() == [0, 0, 3, 20000, 3, 2]
+    assert words[bounds[2] : bounds[3]].tolist() == words[bounds[4] : bounds[5]].tolist() and words[-1] != words[-2]
+    marks, at, known = passages.seeds(words, bounds, 5, 8, 43)
+    assert len(marks) <= 20000 // 4 + 8 and len(set(marks.tolist())) == 1 and np.diff(at).max() <= 8 and (known > 0).sum() > 4900
+
+
 def test_passage_with_changes_near_its_ends():
     a, b = np.arange(1000, 1200, dtype=np.uint64), np.arange(5000, 5200, dtype=np.uint64)
     b[60:115] = a[60:115]
