@@ -4,9 +4,9 @@ A sequence holds ``capacity`` tokens. Only how many pieces there are of each len
 how many sequences are needed, so the search runs over a histogram of at most ``capacity``
 lengths, whatever the number of documents: bin completion takes the largest length left,
 enumerates the undominated ways to fill up its sequence, uses a way as often as the pieces
-last, and goes on; it branches over the ways, prunes a branch when the sequences used and the
-space wasted so far can't beat the incumbent, and starts from the best-fit-decreasing packing
-as the incumbent. The plan then says, for each length, which ranks of its pieces go where, and
+last (or less often), and goes on; it branches over the ways, in the order of their
+discrepancies, prunes a branch when the space wasted so far can't beat the incumbent, and starts
+from the best-fit-decreasing packing as the incumbent. The plan then says, for each length, which ranks of its pieces go where, and
 every piece looks up its place by its rank.
 
 Defined cases: a null or empty text has only the end id; null and repeated document ids are
@@ -16,8 +16,8 @@ an empty one; other columns are not looked at.
 
 from __future__ import annotations
 
-from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import chain
 from zlib import crc32
 
 import numpy as np
@@ -74,122 +74,171 @@ def best_fit(counts: list[int], capacity: int) -> list[tuple[int, tuple[int, ...
     return [x for groups in open_.values() for x in groups]
 
 
-def completions(counts: list[int], sizes: list[int], space: int, most: int, steps: int) -> tuple[list[tuple[int, ...]], int]:
-    """Undominated ways to fill ``space`` with pieces that are there, the least waste first.
-
-    A filling is dominated if a larger piece could stand for one of its pieces, or one piece
-    for two of them, without more waste; so only fillings are made to which no piece can be
-    added, each from the largest piece down, and one piece that fills the space ends the
-    search. At most ``steps`` steps and ``most`` ways; ties go to the fewer, larger pieces. Also
-    returns the steps made.
-    """
-    if space and counts[space]:
-        return [(space,)], 1
-    found: dict[tuple[int, ...], int] = {}
-    left = steps
+def fillings(counts: np.ndarray, space: int) -> list[tuple[int, ...]]:
+    """Of the fillings with one, two and three pieces, from the largest piece down, one each of the
+    least waste (of those, with the largest first piece); none that wastes as much as one with
+    fewer pieces does, which dominates it."""
+    there = np.flatnonzero(counts[1 : space + 1]) + 1
+    if not len(there):
+        return []
+    below = np.zeros(space + 1, np.int64)  # the largest length up to each
+    below[there] = there
+    np.maximum.accumulate(below, out=below)
+    found = [(int(below[space]),)]
+
+    def next_(most: np.ndarray, *used: np.ndarray) -> np.ndarray:
+        """The largest length up to ``most`` of which a piece is left when one of each of ``used`` is taken."""
+        c = below[np.maximum(most, 0)]
+        taken = sum((u == c).astype(np.int64) for u in used)
+        return np.where((taken > 0) & (counts[c] <= taken), below[np.maximum(c - 1, 0)], c)
+
+    a = there
+    b = next_(np.minimum(a, space - a), a)
+    sums = np.where(b > 0, a + b, 0)
+    at = len(sums) - 1 - int(sums[::-1].argmax())
+    if sums[at] > sum(found[-1]):
+        found.append((int(a[at]), int(b[at])))
+    if sum(found[-1]) < space:
+        i, j = np.nonzero((a[:, None] >= a) & (a[:, None] + a < space) & ((a[:, None] > a) | (counts[a] > 1)[:, None]))
+        first, second = a[i], a[j]
+        third = next_(np.minimum(second, space - first - second), first, second)
+        sums = np.where(third > 0, first + second + third, 0)
+        at = len(sums) - 1 - int(sums[::-1].argmax()) if len(sums) else 0
+        if len(sums) and sums[at] > sum(found[-1]):
+            found.append((int(first[at]), int(second[at]), int(third[at])))
+    return found
+
+
+def filled(counts: np.ndarray, space: int, price: float) -> list[tuple[int, ...]]:
+    """Ways to fill ``space`` so that nothing more fits, by their waste and a price of each piece
+    after the first: small pieces are worth more later, when less is left to choose from."""
+    out = []
+    for held in fillings(counts, space):
+        left = space - sum(held)
+        while left > 0:
+            for x in held:
+                counts[x] -= 1
+            more = min(fillings(counts, left), key=lambda f: left - sum(f) + price * len(f), default=())
+            for x in held:
+                counts[x] += 1
+            if not more:
+                break
+            held, left = (*held, *more), left - sum(more)
+        out.append((left + price * (len(held) - 1), tuple(sorted(held, reverse=True))))
+    return [held for _, held in sorted(out, key=lambda x: (x[0], len(x[1])))]
+
+
+def every_filling(counts: np.ndarray, space: int, more: Callable[[], bool]) -> Iterator[tuple[int, ...]]:
+    """All undominated ways to fill ``space``: nothing more fits, no larger piece could stand for
+    one of them, and no piece for two of them, without going beyond the space. Each step asks
+    whether there may be more."""
     used: dict[int, int] = {}
-    falling = [-x for x in sizes]
 
-    def fits(room: int, at: int) -> bool:
-        for k in range(len(sizes) - 1, at - 1, -1):  # the smallest are there most often
-            if counts[sizes[k]] > used.get(sizes[k], 0):
-                return sizes[k] <= room
-        return False
+    def left(low: int, high: int) -> bool:
+        return any(counts[x] > used.get(x, 0) for x in range(max(1, low), high + 1))
 
     def dominated(held: tuple[int, ...], waste: int) -> bool:
-        for i, a in enumerate(held):
-            if any(counts[x] > used.get(x, 0) for x in range(a + 1, min(a + waste, space) + 1)):
-                return True
-            for b in held[i + 1 :]:
-                if any(counts[x] > used.get(x, 0) for x in range(a + b, min(a + b + waste, space) + 1)):
-                    return True
-        return False
-
-    def fill(room: int, at: int, held: tuple[int, ...]) -> bool:
-        """Whether to stop: enough ways without waste, or steps used up."""
-        nonlocal left
-        left -= 1
-        at = max(at, bisect_left(falling, -room))
-        if not fits(room, at):
-            if len(held) > 12 or not dominated(held, room):
-                found[held] = room
-            return sum(not x for x in found.values()) >= most
-        if counts[room] > used.get(room, 0) and (not held or room <= held[-1]):
-            found[(*held, room)] = 0
-            return sum(not x for x in found.values()) >= most
-        for k in range(at, len(sizes)):
-            x = sizes[k]
-            if counts[x] <= used.get(x, 0):
-                continue
-            used[x] = used.get(x, 0) + 1
-            stop = fill(room - x, k, (*held, x))
-            used[x] -= 1
-            if stop or left <= 0:
-                return True
-        return False
-
-    fill(space, 0, ())
-    ways = sorted(found, key=lambda held: (found[held], len(held), [-x for x in held]))
-    return ways[:most], steps - left
-
-
-def complete(counts: list[int], capacity: int, nodes: int = 20000, ways: int = 4, steps: int = 1000) -> list[tuple[int, tuple[int, ...]]]:
-    """A packing with as few sequences as the search finds: (how often, lengths), ...
-
-    counts: pieces by length, 0 to capacity. nodes bounds the branches visited (ten steps of
-    enumerating count as one); the incumbent
-    (best-fit decreasing at first) is always a whole packing, so a bound reached costs
-    sequences at most, never pieces.
+        if any(left(a + 1, a + waste) for a in held):
+            return True
+        return any(left(a + b, a + b + waste) for i, a in enumerate(held) for b in held[i + 1 :])
+
+    def fill(room: int, most: int, held: tuple[int, ...]) -> Iterator[tuple[int, ...]]:
+        if not left(1, room):
+            if not dominated(held, room):
+                yield held
+            return
+        for x in range(min(room, most), 0, -1):
+            if counts[x] > used.get(x, 0) and more():
+                used[x] = used.get(x, 0) + 1
+                yield from fill(room - x, x, (*held, x))
+                used[x] -= 1
+
+    yield from fill(space, space, ())
+
+
+def complete(counts: list[int], capacity: int, nodes: int = 20_000, prices: tuple[float, ...] = (8, 2, 32, 0)) -> tuple[list[tuple[int, tuple[int, ...]]], bool]:
+    """A packing with as few sequences as the search finds: (how often, lengths), ...; and whether
+    it is known that fewer don't do.
+
+    counts: pieces by length, 0 to capacity. Bin completion: the largest piece left is taken, the
+    ways to fill up its sequence are the branches, each used as often as the pieces last, half as
+    often, or once; a branch is left when the space wasted so far can't be made good by any
+    packing better than the incumbent (best-fit decreasing at first). The branches are visited in
+    the order of their discrepancies, the times that another than the first way is taken: first
+    none, by each of the ``prices``, then one, two, four and so on, until nothing was left out.
+    ``nodes`` bounds the branches visited (ten steps of enumerating all fillings count as one); the incumbent is always a whole
+    packing, so a bound that is reached costs sequences at most, never pieces.
     """
     best = best_fit(counts, capacity)
     fewest = sum(t for t, _ in best)
     total = sum(i * n for i, n in enumerate(counts))
     least = max(-(-total // capacity), sum(counts[capacity // 2 + 1 :]))
-    if fewest <= least:
-        return best
-    now, chosen, used, rest = list(counts), [], 0, total
-    stack: list[Iterator] = []
+    now = np.array(counts, np.int64)
 
-    def branch() -> Iterator[tuple[int, tuple[int, ...]]]:
+    def more() -> bool:
         nonlocal nodes
-        sizes = [x for x in range(capacity, 0, -1) if now[x]]
-        first = sizes[0]
+        nodes -= 0.1
+        return nodes > 0
+
+    def branches(price: float) -> Iterator[tuple[int, tuple[int, ...]]]:
+        first = int(np.flatnonzero(now)[-1])
         now[first] -= 1
-        fills, made = completions(now, [x for x in sizes if now[x]], capacity - first, ways, steps)
-        nodes -= made // 10
+        ways = filled(now, capacity - first, price) or [()]
         now[first] += 1
-        for fill in fills or [()]:
-            held = (first, *fill)
-            yield min(now[x] // held.count(x) for x in set(held)), held
-
-    if total:
-        stack.append(branch())
-    while stack and nodes > 0:
-        step = next(stack[-1], None)
-        if step is None:
-            stack.pop()
-            if chosen:
-                times, held = chosen.pop()
-                used, rest = used - times, rest + times * sum(held)
-                for x in held:
-                    now[x] += times
-            continue
-        nodes -= 1
-        times, held = step
-        if used + times + -(-(rest - times * sum(held)) // capacity) >= fewest:
-            continue  # the space wasted so far can't be made good
-        for x in held:
-            now[x] -= times
-        chosen.append(step)
-        used, rest = used + times, rest - times * sum(held)
-        if rest:
-            stack.append(branch())
-            continue
-        best, fewest = list(chosen), used
-        if fewest <= least:
-            break
-        stack.append(iter(()))
-    return best
+        often = {}
+        for way in dict.fromkeys(ways):
+            held = (first, *way)
+            often[way] = most = min(int(now[x]) // held.count(x) for x in set(held))
+            yield from ((times, held) for times in dict.fromkeys((most, -(-most // 2), 1)))
+        now[first] -= 1
+        rest = every_filling(now.copy(), capacity - first, more)
+        now[first] += 1
+        for way in chain(often, (x for x in rest if x not in often)):
+            held = (first, *way)
+            most = min(int(now[x]) // held.count(x) for x in set(held))
+            done = (most, -(-most // 2), 1) if way in often else ()
+            yield from ((times, held) for times in range(most, 0, -1) if times not in done)
+
+    def visit(limit: float, price: float) -> bool:
+        """All branches of up to ``limit`` discrepancies; whether there were no others."""
+        nonlocal best, fewest, nodes
+        whole, chosen, used, waste = True, [], 0, 0
+        stack = [[branches(price), limit]] if total else []
+        while stack:
+            ways, left = stack[-1]
+            step = next(ways, None) if left >= 0 else None
+            if step is None or nodes <= 0 or fewest <= least:
+                whole &= step is None and left >= 0 and nodes > 0
+                stack.pop()
+                if chosen:
+                    times, held = chosen.pop()
+                    used, waste = used - times, waste - times * (capacity - sum(held))
+                    for x in held:
+                        now[x] += times
+                continue
+            stack[-1][1] -= 1
+            times, held = step
+            nodes -= 1
+            lost = times * (capacity - sum(held))
+            if used + times >= fewest or waste + lost > (fewest - 1) * capacity - total:
+                continue
+            for x in held:
+                now[x] -= times
+            chosen.append(step)
+            used, waste = used + times, waste + lost
+            if now.any():
+                stack.append([branches(price), left])
+            else:
+                best, fewest = list(chosen), used
+                stack.append([iter(()), 0])
+        return whole
+
+    whole, limit = fewest <= least, 0
+    while not whole and nodes > 0 and fewest > least:
+        for price in prices if not limit else prices[:1]:
+            whole = whole or visit(limit, price)
+        limit = 2 * limit or 1
+    return best, whole or fewest <= least
 
 
 def places(plan: list[tuple[int, tuple[int, ...]]], capacity: int) -> dict[str, np.ndarray]:
@@ -275,7 +324,7 @@ def pack(docs: DataFrame, vocabulary: str, end_id: int, capacity: int = 1024, wi
     counts = [0] * (capacity + 1)
     for length, n in tally.groupBy("length").agg(F.sum("n")).collect():
         counts[length] = n
-    plan = places(complete(counts, capacity), capacity)
+    plan = places(complete(counts, capacity)[0], capacity)
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     base = tally.select("length", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     ranked = pieces.join(base, ["length", "part"]).select("doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else []), (F.col("rank") + F.col("base")).alias("rank"))

@@ -119,7 +119,7 @@ def test_packing_search():
         counts = [0] * (capacity + 1)
         for _ in range(rng.randint(0, 60)):
             counts[rng.randint(1, capacity)] += rng.choice([1, 1, 2, 7])
-        first, best = packing.best_fit(counts, capacity), packing.complete(counts, capacity, nodes=500)
+        first, best = packing.best_fit(counts, capacity), packing.complete(counts, capacity, nodes=500)[0]
         for plan in (first, best):
             got = [0] * (capacity + 1)
             for times, held in plan:
@@ -130,15 +130,44 @@ def test_packing_search():
         assert sum(t for t, _ in best) <= sum(t for t, _ in first)
 
 
-def test_completion_beats_best_fit():
-    counts = [0] * 11
-    for x in (6, 4, 4, 3, 3):  # best fit: 6 4 | 4 3 3; fine; and a case where it isn't
-        counts[x] += 1
-    assert sum(t for t, _ in packing.complete(counts, 10)) == 2
-    counts = [0] * 101
-    for x in (50, 41, 36, 33, 31, 29, 28, 27, 25):  # 300 in all
-        counts[x] += 1
-    assert sum(t for t, _ in packing.complete(counts, 100)) <= sum(t for t, _ in packing.best_fit(counts, 100))
+def fewest_bins(sizes: list[int], capacity: int) -> int:
+    """Exact, over all subsets: the least (bins, content of the last)."""
+    best = [(0, capacity)] + [(len(sizes) + 1, 0)] * (2 ** len(sizes) - 1)
+    for held in range(1, 2 ** len(sizes)):
+        for i, x in enumerate(sizes):
+            if held >> i & 1:
+                bins, last = best[held ^ 1 << i]
+                best[held] = min(best[held], (bins, last + x) if last + x <= capacity else (bins + 1, x))
+    return best[-1][0]
+
+
+def test_completion_is_exact_on_small_instances():
+    rng, better = random.Random(9), 0
+    for _ in range(150):
+        capacity = rng.choice([12, 20, 50, 100])
+        sizes = [rng.randint(max(1, capacity // 8), max(2, capacity * 6 // 10)) for _ in range(rng.randint(4, 11))]
+        counts = np.bincount(sizes, minlength=capacity + 1).tolist()
+        plan, known = packing.complete(counts, capacity)
+        best = fewest_bins(sizes, capacity)
+        assert known and sum(t for t, _ in plan) == best, sizes
+        better += best < sum(t for t, _ in packing.best_fit(counts, capacity))
+    assert better >= 2  # cases in which best fit isn't
+
+
+def test_completion_of_the_documents_lengths():
+    """Lengths with a bound that best fit misses by two sequences and the search reaches."""
+    counts = [0] * 1025
+    rng = random.Random(3)
+    for _ in range(1500):
+        counts[min(1024, max(2, int(rng.lognormvariate(6.2, 1.0))))] += 1
+    first, (best, known) = packing.best_fit(counts, 1024), packing.complete(counts, 1024)
+    assert sum(t for t, _ in best) < sum(t for t, _ in first)
+    assert known == (sum(t for t, _ in best) == max(-(-sum(i * n for i, n in enumerate(counts)) // 1024), sum(counts[513:])))
+
+
+def test_every_filling_is_maximal_and_undominated():
+    counts = np.bincount([9, 7, 6, 5, 4, 4, 2, 1], minlength=13)
+    assert sorted(packing.every_filling(counts, 12, lambda: True)) == [(6, 4, 2), (7, 5), (9, 2, 1)]
 
 
 def test_packing_places_every_token(spark, docs):
@@ -174,4 +203,4 @@ def test_packing_search_reaches_the_bound():
     rng, counts = random.Random(4), [0] * 201
     for _ in range(600):
         counts[min(200, max(5, int(rng.lognormvariate(4.2, 0.6))))] += 1
-    assert sum(t for t, _ in packing.complete(counts, 200)) == 235 == max(-(-sum(i * n for i, n in enumerate(counts)) // 200), sum(counts[101:]))
+    assert sum(t for t, _ in packing.complete(counts, 200)[0]) == 235 == max(-(-sum(i * n for i, n in enumerate(counts)) // 200), sum(counts[101:]))
