@@ -1,7 +1,7 @@
 """Line dedup by site-relative frequency.
 
 A line that stands on more than a given share of a host's pages is boilerplate there and goes
-from all of them. A row is a page; a line counts once a page. DataFrame functions only: lines
+from all of them; a line on one page alone isn't. A row is a page; a line counts once a page. DataFrame functions only: lines
 are counted by hashes of 128 bits, combined before the shuffle, so a line on a third of all
 pages is no burden; and pages are joined by host with the host's boilerplate alone. A host has at
 most (its mean number of lines a page) / ratio such lines, however many pages it has; Spark
@@ -15,13 +15,14 @@ from pyspark.sql import functions as F
 
 from boxstats.llm import store
 
-#: Share of a host's pages that a line may stand on, and pages below which none is boilerplate.
-RATIO, LEAST_PAGES = 0.1, 5
+#: Share of a host's pages that a line may stand on. A line on one page alone is never boilerplate,
+#: however few pages its host has.
+RATIO, LEAST_PAGES = 0.1, 2
 _SOLID = "[^ \\t\\n\\x0B\\f\\r]"
 
 
 def _mark(line: Column) -> Column:
-    return F.struct(F.xxhash64(line).alias("h1"), F.xxhash64(line, F.lit(1)).alias("h2"))
+    return F.struct(F.xxhash64(line).alias("h1"), F.xxhash64(F.lit(1), line).alias("h2"))
 
 
 def _lines(text: Column) -> Column:
@@ -47,18 +48,19 @@ def cleaned(docs: DataFrame, ratio: float = RATIO, least_pages: int = LEAST_PAGE
     a null text stays null and has no lines, but its row is a page; pages without a host are
     left as they are; repeated rows are pages of their own; an empty table gives none.
     """
-    common = store.keep(boilerplate(docs, host_column, text_column, ratio, least_pages), "line-boilerplate").select(F.col("host").alias("__host"), F.col("marks").alias("__marks"))
-    joined = docs.join(common, F.col(host_column) == F.col("__host"), "left")
-    text = F.col(text_column).cast("string")
-    drops = lambda x: x.rlike(_SOLID) & F.array_contains("__marks", _mark(x))
-    some = F.col("__marks").isNotNull()
+    host, marks = store.free(docs, "host", "marks")
+    common = store.keep(boilerplate(docs, host_column, text_column, ratio, least_pages), "line-boilerplate").toDF(host, marks)
+    joined = docs.join(common, F.col(f"`{host_column}`") == F.col(f"`{host}`"), "left")
+    text = F.col(f"`{text_column}`").cast("string")
+    drops = lambda x: x.rlike(_SOLID) & F.array_contains(F.col(f"`{marks}`"), _mark(x))
+    some = F.col(f"`{marks}`").isNotNull()
     new = F.when(some, F.array_join(F.filter(_lines(text), lambda x: ~drops(x)), "\n")).otherwise(text)
     columns = []
     for name in docs.columns:
         if name == text_column:
             columns.append(new.alias(name))
         elif name == length_column:
-            columns.append(F.when(some, F.length(new)).otherwise(F.col(name)).cast("long").alias(name))
+            columns.append(F.when(some, F.length(new)).otherwise(F.col(f"`{name}`")).cast("long").alias(name))
         else:
             columns.append(F.col(f"`{name}`"))
     if count_columns:

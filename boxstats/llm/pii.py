@@ -104,14 +104,14 @@ def base_spans(text: str) -> list[Span]:
 #: (kind, characters one of which a text needs, pattern). Runs have bounded lengths or are
 #: possessive, so that a pattern's time is linear in the text.
 GENERATORS = (
-    ("email_written", "tT", re.compile(r"\b[A-Za-z0-9._-]{2,40} ?(?:\[at\]|\(at\)|\{at\}| at ) ?[A-Za-z0-9-]{2,40} ?(?:\[dot\]|\(dot\)|\{dot\}| dot ) ?[A-Za-z]{2,10}\b")),
+    ("email_written", "tT", re.compile(r"(?<![A-Za-z0-9._-])[A-Za-z0-9._-]{2,}+ ?(?:\[at\]|\(at\)|\{at\}| at ) ?[A-Za-z0-9-]{2,}+ ?(?:\[dot\]|\(dot\)|\{dot\}| dot ) ?[A-Za-z]{2,}+(?![0-9_])")),
     ("phone_local", "0123456789", re.compile(r"(?<![0-9])(?:\([0-9]{2,4}\) ?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-][0-9]{3,4}(?![0-9])")),
     ("ssn", "0123456789", re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")),
     ("iban", "0123456789", re.compile(r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b")),
     ("mac", ":-", re.compile(r"(?<![0-9A-Fa-f:-])[0-9A-Fa-f]{2}(?:[:-][0-9A-Fa-f]{2}){5}(?![0-9A-Fa-f:-])")),
     ("ipv6", ":", re.compile(r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{1,4}:){2,7}:?(?:[0-9A-Fa-f]{1,4}:){0,5}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])")),
     ("secret", "=:", re.compile(r"(?<=[=:])[ ]?[\"']?[A-Za-z0-9_+/.-]{8,}+[\"']?")),
-    ("key", "0123456789", re.compile(r"(?<![A-Za-z0-9_])(?=[A-Za-z_-]{0,40}[0-9])[A-Za-z0-9_-]{16,}+")),
+    ("key", "0123456789", re.compile(r"(?<![A-Za-z0-9_])(?=[A-Za-z_-]*+[0-9])[A-Za-z0-9_-]{16,}+")),
 )
 #: Characters of a candidate that are judged; an accepted span goes on to the end of its run.
 JUDGED = {"secret": 200, "key": 100}
@@ -313,7 +313,8 @@ def _redact(judge: Judge, text_column: str, length_column: str | None):
 
 def redacted(docs: DataFrame, text_column: str = "text", length_column: str | None = "n_chars") -> DataFrame:
     """``docs`` with all spans in the text replaced; a column of the text's length follows it. A
-    null text stays null."""
+    null text stays null; a text column of another type becomes a string."""
+    docs = docs.withColumn(text_column, F.col(f"`{text_column}`").cast("string"))
     if length_column in docs.columns:
         docs = docs.withColumn(length_column, F.col(length_column).cast("long"))
     return docs.mapInArrow(_redact(train(), text_column, length_column), docs.schema)

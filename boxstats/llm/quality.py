@@ -236,5 +236,6 @@ def judge(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, gra
 
 def accepted(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, gram: int = GRAM, bits: int = BITS, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` that :func:`judge` keeps, with all their columns."""
+    docs = docs.withColumn(text_column, F.col(f"`{text_column}`").cast("string"))
     _, ratio = _ratio(docs, trusted, gram, bits, id_column, text_column)
     return docs.mapInArrow(_accept(ratio, gram, threshold, text_column), docs.schema)

@@ -21,7 +21,7 @@ from math import comb, log2
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from boxstats.llm import store, tokens
@@ -296,7 +296,7 @@ def near_duplicates(docs: DataFrame, tau: int = 4, shingle: int = 4, seed: int =
     distinct = store.keep(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
     stars = store.keep(components(link(distinct, tau)), "simhash-stars")
     joined = distinct.join(stars.withColumnRenamed("id", "fp"), "fp", "left").select("fp", "least", F.coalesce("component_id", "fp").alias("root"))
-    least = joined.groupBy("root").agg(F.min("least").alias("component"))
+    least = store.keep(joined.groupBy("root").agg(F.min("least").alias("component")), "simhash-least")  # else a root's rows are one task's
     named = store.keep(joined.join(least, "root").select("fp", "component"), "simhash-named")
     digits = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
     return marked.join(named, "fp").select("doc_id", digits, F.col("component").alias("component_id"))
@@ -304,30 +304,40 @@ def near_duplicates(docs: DataFrame, tau: int = 4, shingle: int = 4, seed: int =
 
 def representatives(docs: DataFrame, tau: int = 4, shingle: int = 4, seed: int = 42, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows of ``docs``, with all their columns, of which one of each group of near-duplicates
-    stays: the one of the smallest document id (nulls last; then by a hash of the text).
+    stays: the one of the smallest document id (nulls last; then by a hash of the row). Of rows alike
+    in all columns one stays.
 
     Texts are shuffled by id only against the rows that go, and not at all while Spark can
     broadcast those.
     """
-    key = F.col(id_column).cast("long")
-    rows = docs.select(key.alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    marked = store.keep(rows.withColumn("hash", F.xxhash64("text")).mapInArrow(_fingerprints(shingle, seed), "doc_id long, hash long, fp long"), "simhash-documents")
+    key = F.col(f"`{id_column}`").cast("long")
+    rows = docs.select(key.alias("doc_id"), F.col(text_column).cast("string").alias("text"), _whole(docs).alias("hash")).select("doc_id", "hash", "text")
+    marked = store.keep(rows.mapInArrow(_fingerprints(shingle, seed), "doc_id long, hash long, fp long"), "simhash-documents")
     distinct = store.keep(marked.groupBy("fp").agg(F.count("*").alias("rows")), "simhash-distinct")
     stars = store.keep(components(link(distinct, tau)), "simhash-stars")
     rooted = marked.join(stars.withColumnRenamed("id", "fp"), "fp", "left").select("doc_id", "hash", F.coalesce("component_id", "fp").alias("root"))
-    return _firsts(docs, store.keep(rooted, "simhash-rooted"), id_column, text_column)
+    return _firsts(docs, store.keep(rooted, "simhash-rooted"), id_column)
 
 
-def _firsts(docs: DataFrame, rooted: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """One row of ``docs`` of each root; rooted: doc_id, hash (of the text) and root of all rows."""
-    key, text = F.col(id_column).cast("long"), F.xxhash64(F.col(text_column).cast("string"))
+def _whole(docs: DataFrame) -> Column:
+    """A hash of a row's columns; a document is known by its id and this."""
+    return F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns))
+
+
+def _firsts(docs: DataFrame, rooted: DataFrame, id_column: str) -> DataFrame:
+    """One row of ``docs`` of each root; rooted: doc_id, hash (of the row) and root of all rows."""
+    # The first of each root is written, so that the join is one that Spark can split: a root's rows
+    # may be a third of all.
     first = rooted.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash")).alias("first"))
-    lost = rooted.join(first, "root").where(~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("hash") == F.col("first.hash"))))
-    lost = store.keep(lost.select(F.col("doc_id").alias("__id"), F.col("hash").alias("__hash")).distinct(), "simhash-lost")
-    kept = docs.join(lost, key.eqNullSafe(F.col("__id")) & (text == F.col("__hash")), "left_anti")
+    first = store.keep(first.select(F.col("root").alias("of"), F.col("first.doc_id").alias("first_id"), F.col("first.hash").alias("first_hash")), "simhash-firsts")
+    lost = rooted.join(first, F.col("root") == F.col("of")).where(~(F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("hash") == F.col("first_hash"))))
+    lost_id, lost_hash = store.free(docs, "lost_id", "lost_hash")
+    lost = store.keep(lost.select(F.col("doc_id").alias(lost_id), F.col("hash").alias(lost_hash)).distinct(), "simhash-lost")
+    key, whole = F.col(f"`{id_column}`").cast("long"), _whole(docs)
+    kept = docs.join(lost, key.eqNullSafe(F.col(f"`{lost_id}`")) & (whole == F.col(f"`{lost_hash}`")), "left_anti")
     if rooted.groupBy("doc_id", "hash").count().where("count > 1").isEmpty():
         return kept
-    return kept.withColumns({"__id": key, "__hash": text}).dropDuplicates(["__id", "__hash"]).drop("__id", "__hash")
+    return kept.withColumns({lost_id: key, lost_hash: whole}).dropDuplicates([lost_id, lost_hash]).drop(lost_id, lost_hash)
 
 
 # --- near-duplicates by the shingles themselves -----------------------------------------------
@@ -394,8 +404,8 @@ def similar_representatives(docs: DataFrame, similarity: float = 0.8, shingle: i
     link is verified by the shingles. A band's texts are first verified against a few of them,
     then, pair by pair, those that this hasn't connected; none are left out.
     """
-    key = F.col(id_column).cast("long")
-    rows = docs.select(key.alias("doc_id"), F.col(text_column).cast("string").alias("text")).withColumn("hash", F.xxhash64("text"))
+    key = F.col(f"`{id_column}`").cast("long")
+    rows = docs.select(key.alias("doc_id"), F.col(text_column).cast("string").alias("text"), _whole(docs).alias("hash"))
     marked = store.keep(rows.select("doc_id", "hash", "text").mapInArrow(_banded(shingle, seed), "doc_id long, hash long, name long, bands array<long>"), "similar-documents")
     distinct = marked.groupBy("name").agg(F.min("hash").alias("hash"))
     banded = marked.join(distinct, ["name", "hash"]).dropDuplicates(["name"]).select("name", F.posexplode("bands").alias("band", "value"))
@@ -419,4 +429,4 @@ def similar_representatives(docs: DataFrame, similarity: float = 0.8, shingle: i
     more = verified(apart.withColumnRenamed("name", "a").join(other, ["band", "value"]).where("a < b and root <> root_b").select("a", "b"))
     stars = store.keep(components(links.union(more)), "similar-stars")
     rooted = marked.join(stars.withColumnRenamed("id", "name"), "name", "left").select("doc_id", "hash", F.coalesce("component_id", "name").alias("root"))
-    return _firsts(docs, store.keep(rooted, "similar-rooted"), id_column, text_column)
+    return _firsts(docs, store.keep(rooted, "similar-rooted"), id_column)

@@ -55,3 +55,14 @@ def sweep(spark: SparkSession) -> None:
     garbage is collected, which in a small driver may be long after."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+
+
+def free(df: DataFrame, *names: str) -> list[str]:
+    """Column names like these that ``df`` doesn't have (in any case of letters)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out

@@ -322,3 +322,33 @@ def test_lines(spark, duck, data, compare):
     assert found[5].text == "own 5\n\n  " and found[5].n_chars == len(found[5].text) and (found[5].n, found[5].dropped) == (3, 2)
     assert found[1].text.endswith("rare") and found[30].text == found[32].text == "shared" and found[31].text is None and found[33].text == ""
     assert lines.cleaned(frame.limit(0)).columns == frame.columns and lines.cleaned(frame.limit(0)).count() == 0
+
+
+def test_lines_of_small_hosts_and_clashing_columns(spark):
+    long = "\n".join(f"line {i}" for i in range(40000))
+    rows = [(0, "only here", "one", 1, 2), (1, "both\nown 1", "two", 1, 2), (2, "both\nown 2", "two", 1, 2), (3, long, "three", 1, 2), (4, "line 39999\nx", "three", 1, 2)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string, host int, Marks int")
+    found = {r.doc_id: r.text for r in lines.cleaned(frame).collect()}
+    assert found == {0: "only here", 1: "own 1", 2: "own 2", 3: long.rpartition("\n")[0], 4: "x"}
+    assert lines.cleaned(frame).columns == frame.columns
+
+
+def test_representatives_with_clashing_columns_and_repeated_rows(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(7, text, "b", 1), (7, text, "a", 1), (7, text, "a", 1), (9, text + " end", "c", 1), (None, text, "d", 1), (11, "other words altogether, and a few more", "e", 1), (12, None, "f", 1), (13, "", "g", 1)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lost_id string, hash int")
+    for kept in (simhash.similar_representatives(frame), simhash.representatives(frame)):
+        found = kept.collect()
+        assert sorted(r.doc_id for r in found) == [7, 11, 12] and kept.columns == frame.columns
+        assert {r.lost_id for r in found if r.doc_id == 7} <= {"a", "b"}
+
+
+def test_very_long_texts(spark):
+    rng = random.Random(2)
+    long = " ".join(rng.choice(["alpha", "beta", "gamma", "delta", "of", "the", "in"]) + str(rng.randint(0, 999)) for _ in range(60000))
+    frame = spark.createDataFrame([(1, long), (2, long), (3, long[: len(long) // 2]), (4, "short one")], "doc_id long, text string")
+    prints = {r.doc_id: r.component_id for r in simhash.near_duplicates(frame).collect()}
+    assert prints[1] == prints[2] == 1 and prints[4] == 4
+    found = {(min(r.doc_id, r.other_id), max(r.doc_id, r.other_id)): r for r in passages.shared(frame).collect()}
+    assert set(found) >= {(1, 2)} or set(found) >= {(1, 3), (2, 3)}
+    assert max(r.end_word - r.start_word for r in found.values()) >= 29999
