@@ -88,19 +88,36 @@ def interpolated(rows: DataFrame, table: Sequence[tuple[float, float]], x: str,
 
 def aligned(rows: DataFrame, table: DataFrame, by: Sequence[str], x: str, y: str, logs: bool = False) -> DataFrame:
     """``rows`` (by, x) with y interpolated in ``table`` (by, x, y), ends held: both are put in
-    one order, and each row takes the table's row before it and after it."""
+    one order, and each row takes the table's row before it and after it.
+
+    The order is made within ranges of x, as many as there are shuffle partitions, between
+    approximate quantiles of the table; each range also gets the last row of the table before it
+    and the first behind it, so no task sees more than its range.
+    """
     f = (lambda c: F.log(c)) if logs else (lambda c: c)
-    both = rows.withColumns({"__y": F.lit(None).cast("double"), "__t": F.lit(1)}).unionByName(table.select(*by, x, F.col(y).alias("__y"), F.lit(0).alias("__t")), allowMissingColumns=True)
-    order = Window.partitionBy(*by).orderBy(x, "__t")
-    point = F.when(F.col("__t") == 0, F.struct(F.col(x).alias("x"), F.col("__y").alias("y")))
-    back = F.last(point, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    ahead = F.first(point, ignorenulls=True).over(order.rowsBetween(0, Window.unboundedFollowing))
-    placed = both.withColumns({"__a": back, "__b": ahead}).where("__t = 1")
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    edges = sorted(set(table.approxQuantile(x, [i / n for i in range(1, n)], 0.5 / n))) if n > 1 else []
+    slot = F.size(F.filter(F.array(*map(F.lit, edges)), lambda e: e <= F.col(x))) if edges else F.lit(0)
+    points = table.select(*by, F.col(x), slot.alias("__s"), F.struct(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).alias("__p"))
+    held = points.groupBy(*by, "__s").agg(F.min("__p").alias("first"), F.max("__p").alias("last"))
+    slots = rows.sparkSession.range(len(edges) + 1).select(F.col("id").cast("int").alias("__s"))
+    full = held.select(*by).distinct().crossJoin(F.broadcast(slots)).join(held, [*by, "__s"], "left")
+    order = Window.partitionBy(*by).orderBy("__s")
+    before = F.last("last", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    behind = F.last("first", ignorenulls=True).over(Window.partitionBy(*by).orderBy(F.desc("__s")).rowsBetween(Window.unboundedPreceding, -1))
+    full = full.select(*by, "__s", before.alias("__before"), behind.alias("__behind"))
+    both = rows.withColumns({"__s": slot, "__p": F.lit(None).cast("struct<x:double,y:double>"), "__t": F.lit(1)}).unionByName(points.withColumn("__t", F.lit(0)), allowMissingColumns=True)
+    within = Window.partitionBy(*by, "__s")
+    # each of the windows runs forwards, from its first row on
+    back = F.last("__p", ignorenulls=True).over(within.orderBy(x, "__t").rowsBetween(Window.unboundedPreceding, 0))
+    ahead = F.last("__p", ignorenulls=True).over(within.orderBy(F.desc(x), "__t").rowsBetween(Window.unboundedPreceding, 0))
+    placed = both.withColumns({"__a": back, "__b": ahead}).where("__t = 1").join(full, [*by, "__s"], "left")
+    placed = placed.withColumns({"__a": F.coalesce("__a", "__before"), "__b": F.coalesce("__b", "__behind")})
     a, b, at = F.col("__a"), F.col("__b"), f(F.col(x))
     slope = (f(b["y"]) - f(a["y"])) / (f(b["x"]) - f(a["x"]))
     line = f(a["y"]) + (at - f(a["x"])) * slope
     value = F.when(a.isNull(), b["y"]).when(b.isNull() | (a["x"] == b["x"]), a["y"]).otherwise(F.exp(line) if logs else line)
-    return placed.withColumn(y, value).drop("__y", "__t", "__a", "__b")
+    return placed.withColumn(y, value).drop("__s", "__p", "__t", "__a", "__b", "__before", "__behind")
 
 
 def five_point(rows: DataFrame, by: Sequence[str], order: str, value: str, step: float) -> DataFrame:

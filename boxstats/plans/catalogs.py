@@ -178,8 +178,8 @@ def five_point_derivative(spark: SparkSession, sf_dir: str) -> DataFrame:
 d as (select g, (y + lag(y) over w) / 2 * (x - lag(x) over w) as a from t window w as (partition by g order by x))
 select g, {sql_round('sum(a) / 1e3', 4)} as integral from d group by g""")
 def trapezoid_integral(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = views.particles(spark, sf_dir).join(spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice"), ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"])
-    curve = rows.groupBy(F.col("l_linenumber").alias("g"), F.col("w").cast("long").cast("double").alias("x")).agg(F.avg("l_extendedprice").alias("y"))
+    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    curve = rows.groupBy(F.col("l_linenumber").alias("g"), F.col("l_quantity").cast("long").cast("double").alias("x")).agg(F.avg("l_extendedprice").alias("y"))
     return statistics.trapezoid(curve, ["g"], "x", "y").select("g", rounded(F.col("integral") / 1e3, 4).alias("integral"))
 
 

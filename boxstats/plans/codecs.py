@@ -29,14 +29,14 @@ def dequantise_12bit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _coded(spark, sf_dir).select(*_KEYS, rounded(codec.dequantise(F.col("code"), VMAX)).alias("v"))
 
 
-_ROWS = f"c as (select l_orderkey, {_Q} as q, row_number() over (partition by l_orderkey order by {_K}) - 1 as n, count(*) over (partition by l_orderkey) as m from p), e as (select l_orderkey, n // 2 as pair, max(q) filter (n % 2 = 0) as q0, max(q) filter (n % 2 = 1) as q1 from c where m % 2 = 0 group by 1, 2)"
+_ROWS = f"c as (select l_orderkey, {_Q} as q, row_number() over (partition by l_orderkey order by {_K}, {_Q}) - 1 as n, count(*) over (partition by l_orderkey) as m from p), e as (select l_orderkey, n // 2 as pair, max(q) filter (n % 2 = 0) as q0, max(q) filter (n % 2 = 1) as q1 from c where m % 2 = 0 group by 1, 2)"
 
 
 @query(f", {_ROWS} select l_orderkey, pair::bigint as pair, (q0 & 255)::int as b0, (((q0 >> 8) & 15) | ((q1 & 15) << 4))::int as b1, (q1 >> 4)::int as b2 from e")
 def pack_12bit(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _coded(spark, sf_dir)
     even = rows.groupBy("l_orderkey").count().where("count % 2 = 0").select("l_orderkey")
-    return codec.packed_pairs(rows.join(even, "l_orderkey", "left_semi"), "code", _KEYS, ["l_orderkey"])
+    return codec.packed_pairs(rows.join(even, "l_orderkey", "left_semi"), "code", [*_KEYS, "code"], ["l_orderkey"])
 
 
 @query(f", {_ROWS} select sum(q0)::bigint as s0, sum(q1)::bigint as s1, count(*) as pairs from e")

@@ -2,6 +2,7 @@ import os
 import sys
 from pathlib import Path
 
+import pandas as pd
 import pytest
 
 ROOT = Path(__file__).resolve().parent.parent
@@ -52,7 +53,7 @@ def same(found, expected) -> None:
 
     def rows(frame):
         frame = frame[columns].astype(object)
-        return sorted(repr([None if x is None or x != x else float(x) if isinstance(x, (int, float)) and not isinstance(x, bool) else x for x in row]) for row in frame.itertuples(index=False))
+        return sorted(repr([None if pd.isna(x) else float(x) if isinstance(x, (int, float)) and not isinstance(x, bool) else x for x in row]) for row in frame.itertuples(index=False))
 
     assert rows(found) == rows(expected)
 
