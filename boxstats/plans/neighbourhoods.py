@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from boxstats.operators import catalog, neighbours, pairs, statistics
-from boxstats.plans.registry import BOX, query, rounded, sql_distance, sql_round, sql_side
+from boxstats.plans.registry import BOX, WITH, query, rounded, sql_distance, sql_round, sql_side
 from boxstats.sources import views
 
 WIDTH, BINS, MU = 5.0, 8, 10
@@ -172,7 +172,52 @@ def xi_landy_szalay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("bin", rounded("xi").alias("xi"))
 
 
-@query()
+@query(f""", pair as (select sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) + (a.z - b.z) * (a.z - b.z)) as r from h a, h b where a.id <> b.id), n as (select (ceil(r / 5e0) - 1)::int as bin, count(*) as pairs from pair where r > 0 and r <= 4e1 group by 1)
+select e.b::int as bin, coalesce(pairs, 0)::bigint as pairs from range({BINS}) e(b) left join n on n.bin = e.b""")
+def pair_counts_open(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pair counts without periods."""
+    return pairs.isotropic(views.halos(spark, sf_dir), BOX, WIDTH, BINS, periodic=False)
+
+
+def _sql_jackknife(one: str, two: str, where: str, names: str, grid: str) -> str:
+    """xi and its error over the 64 regions, of pairs in slots (one, two)."""
+
+    def counts(t: str, key: str, d: str) -> str:
+        pair = f"select {_REGION.format('a')} as ra, {_REGION.format('b')} as rb, {sql_distance('a', 'b')} as r, (((b.z - a.z + 1e2) % 2e2 + 2e2) % 2e2) - 1e2 as dz, {sql_side('(a.x - b.x)')} as dx, {sql_side('(a.y - b.y)')} as dy, {sql_side('(a.z - b.z)')} as pi from {t} a, {t} b where a.{key} <> b.{key}"
+        return f"""{d} as (select {one} as s1, {two} as s2, ra, rb, count(*) as c from ({pair}) where {where} group by 1, 2, 3, 4),
+{d}k as (select k, s1, s2, sum(c) filter (ra = k or rb = k) as gone from {d}, kk group by 1, 2, 3), {d}w as (select s1, s2, sum(c) as c from {d} group by 1, 2),
+{d}n as (select k, (select count(*) from {t})::double as n, (select count(*) from {t} where {_REGION.format(t)} = k)::double as own from kk)"""
+
+    def rate(d: str) -> str:
+        return f"coalesce({d}w.c, 0) / ({d}n.n * ({d}n.n - 1)) as all_{d}, (coalesce({d}w.c, 0) - coalesce({d}k.gone, 0)) / (({d}n.n - {d}n.own) * ({d}n.n - {d}n.own - 1)) as part_{d}"
+
+    joins = " ".join(f"join {d}n on {d}n.k = kk.k left join {d}w on {d}w.s1 = g.s1 and {d}w.s2 = g.s2 left join {d}k on {d}k.s1 = g.s1 and {d}k.s2 = g.s2 and {d}k.k = kk.k" for d in ("dd", "rr"))
+    n1, n2 = names.split()
+    return f""", kk as (select unnest(range(64))::int as k), {counts('h', 'id', 'dd')}, {counts('q', 'qid', 'rr')}, g as ({grid}),
+x as (select g.s1, g.s2, {rate('dd')}, {rate('rr')} from g cross join kk {joins}), v as (select s1, s2, all_dd / nullif(all_rr, 0) - 1 as xi, part_dd / case when part_rr > 0 then part_rr end - 1 as part from x)
+select s1 as {n1}, s2 as {n2}, {sql_round('max(xi)', 5)} as xi, {sql_round('sqrt(63e0) * stddev_pop(part)', 5)} as error from v group by 1, 2"""
+
+
+def _jackknifed(spark: SparkSession, sf_dir: str, bins: pairs.Bins, names: tuple[str, str]) -> DataFrame:
+    sets = [rows.withColumn("region", catalog.region(64, BOX)) for rows in (views.halos(spark, sf_dir), views.points(spark, sf_dir))]
+    found = pairs.jackknifed(*sets, bins, BOX, "region", 64, names)
+    return found.select(*names, rounded("xi", 5).alias("xi"), rounded("error", 5).alias("error"))
+
+
+@query(_sql_jackknife("(ceil(r / 5e0) - 1)::int", "greatest(0, least(floor((dz / r + 1) / 2 * 4), 3))::int", "r > 0 and r <= 2e1", "bin mu_bin", "select a::int as s1, b::int as s2 from range(4) x(a), range(4) y(b)"))
+def xi_smu_jackknife(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _jackknifed(spark, sf_dir, pairs.Bins("s_mu", 5.0, 4, 4), ("bin", "mu_bin"))
+
+
+@query(_sql_jackknife("(ceil(sqrt(dx * dx + dy * dy) / 5e0) - 1)::int", "(ceil(pi / 5e0) - 1)::int", "sqrt(dx * dx + dy * dy) > 0 and sqrt(dx * dx + dy * dy) <= 2e1 and pi > 0 and pi <= 2e1", "rp_bin pi_bin", "select a::int as s1, b::int as s2 from range(4) x(a), range(4) y(b)"))
+def xi_rppi_jackknife(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _jackknifed(spark, sf_dir, pairs.Bins("rp_pi", 5.0, 4, 4, 5.0), ("rp_bin", "pi_bin"))
+
+
+_LINK = f"link as (select a.id as i, b.id as j from h a, h b where a.id <> b.id and {sql_distance('a', 'b')} <= 4e0)"
+
+
+@query(f"select id, min(low)::bigint as \"group\" from (with recursive {WITH.removeprefix('with ')}, {_LINK}, reach(id, low) as (select id, id from h union select l.i, r.low from link l join reach r on r.id = l.j) select id, low from reach) group by id", views_of=False)
 def friends_of_friends(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.friends(views.halos(spark, sf_dir), BOX, 4.0)
 

@@ -48,6 +48,22 @@ def test_pairs_and_cross(spark, cloud):
     assert all(abs(r.xi) < 1e-9 for r in xi)
 
 
+def test_pairs_without_periods_and_in_a_crowded_cell(spark, monkeypatch):
+    monkeypatch.setattr(pairs, "BLOCK", 40)
+    rng = np.random.default_rng(3)
+    points = np.concatenate((rng.uniform(0, BOX, (150, 3)), rng.normal(3.0, 0.4, (200, 3)).clip(0, BOX)))
+    frame = spark.createDataFrame([(i, *map(float, p), float(i % 5)) for i, p in enumerate(points)], "id long, x double, y double, z double, m double")
+    side = np.abs(points[:, None] - points)
+    for periodic in (False, True):
+        d = np.sqrt(((np.minimum(side, BOX - side) if periodic else side) ** 2).sum(-1))
+        np.fill_diagonal(d, np.inf)
+        inside = [(d > 2 * b) & (d <= 2 * b + 2) for b in range(3)]
+        found = pairs.isotropic(frame, BOX, 2.0, 3, mark="m", periodic=periodic).orderBy("bin").collect()
+        assert [r.pairs for r in found] == [int(x.sum()) for x in inside]
+        m = np.arange(len(points)) % 5 / np.mean(np.arange(len(points)) % 5)
+        assert np.allclose([r.marked for r in found], [(np.outer(m, m) * x).sum() for x in inside])
+
+
 def test_friends(spark, cloud):
     points, tracers = cloud
     found = {r.id: r.group for r in neighbours.friends(tracers.withColumnRenamed("tid", "id"), BOX, 1.5).collect()}
