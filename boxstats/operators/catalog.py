@@ -118,3 +118,8 @@ def mass_fraction(objects: DataFrame, mass: str, npart: int, mpart: float) -> Da
 def matched_scale(snapshots: DataFrame, files: DataFrame, digits: int = 5) -> DataFrame:
     """Snapshots and files whose scale factors begin alike."""
     return snapshots.join(files, F.substring(snapshots["scale"], 1, digits) == F.substring(files["file_scale"], 1, digits))
+
+
+def upper_masses(objects: DataFrame, masses: tuple[str, ...] = ("m200b", "mvir", "m200c")) -> DataFrame:
+    """Mass definitions under the names they have in catalogues' headers: m200b is M200b there."""
+    return objects.withColumnsRenamed({m: "M" + m[1:] for m in masses})

@@ -85,6 +85,21 @@ def nearest(queries: DataFrame, tracers: DataFrame, box: float, key: str = "qid"
         m = max(3, m // 2)
 
 
+def by_tracer(found: DataFrame, key: str = "qid") -> DataFrame:
+    """Points in the order of their nearest tracers; a tracer of many points may span partitions."""
+    return found.repartitionByRange("tid", key).sortWithinPartitions("tid", key)
+
+
+def matter_weights(particles: DataFrame, tracers: DataFrame, box: float, key: str = "qid", count: str | None = None) -> DataFrame:
+    """tid, n (particles nearest to the tracer) and weight, their share times the tracers: Voronoi
+    cells weighted by the matter in them. ``count``: particles that a row stands for."""
+    each = F.col(count) if count else F.lit(1)
+    owners = nearest(particles, tracers, box, key).join(particles.select(key, each.alias("__c")), key).groupBy("tid").agg(F.sum("__c").alias("n"))
+    sizes = particles.agg(F.sum(each).alias("__all")).crossJoin(tracers.agg(F.count("*").alias("__trc")))
+    every = tracers.select("tid").join(owners, "tid", "left").fillna(0, ["n"]).crossJoin(F.broadcast(sizes))
+    return every.select("tid", "n", (F.col("n") * F.col("__trc") / F.col("__all")).alias("weight"))
+
+
 def weighted_nearest(queries: DataFrame, tracers: DataFrame, box: float, bins: int, key: str = "qid") -> DataFrame:
     """The tracer of the least distance times weight, with the Euclidean distance. Tracers are
     searched by bins of log weight, of which the median stands for all (an approximation that

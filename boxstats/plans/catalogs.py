@@ -275,3 +275,30 @@ def latin_hypercube(spark: SparkSession, sf_dir: str) -> DataFrame:
 def hash_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     particles = views.particles(spark, sf_dir)
     return sampling.chosen(particles, 1000, ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"])
+
+
+@query("select id, m200b as \"M200b\", mvir as \"Mvir\", m200c as \"M200c\" from h")
+def massdef_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return catalog.upper_masses(views.halos(spark, sf_dir)).select("id", "M200b", "Mvir", "M200c")
+
+
+@query(f"select id, {sql_round('pow(m200b / 1e13, 7e-1) * pow(1 + tbyu, -3e-1) * 2')} as weight from h")
+def dust_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from boxstats.operators import predictors
+
+    weight = predictors.dust(F.col("m200b") / 1e13, F.col("tbyu"), F.lit(2.0), 0.7, -0.3)
+    return views.halos(spark, sf_dir).select("id", rounded(weight).alias("weight"))
+
+
+@query(f""", t as (select m200b / 1e13 as w, tbyu as d, pow(m200b / 1e13, 75e-2) * pow(1 + tbyu, -5e-1) * (1 + (id % 3 - 1) / 1e1) as data from h),
+g as (select a / 4e0 as a, b / 4e0 as b from range(0, 7) x(a), range(-4, 3) y(b)), c as (select a, b, sum(pow(pow(w, a) * pow(1 + d, b) / data - 1, 2)) as c from t, g group by a, b)
+select {sql_round('arg_min(a, c)', 3)} as by_mass, {sql_round('arg_min(b, c)', 3)} as by_density, {sql_round('min(c)', 3)} as cost from c""")
+def dust_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parameters of the least cost, in steps of a quarter."""
+    from boxstats.operators import predictors
+
+    model = lambda p: predictors.dust(F.col("w"), F.col("tbyu"), F.lit(1.0), p[0], p[1])
+    rows = views.halos(spark, sf_dir).withColumn("w", F.col("m200b") / 1e13)
+    rows = rows.withColumn("data", model([0.75, -0.5]) * (1 + (F.col("id") % 3 - 1) / 10.0))
+    (by_mass, by_density), cost = predictors.fitted(rows, model, "data", [0.5, 0.0], step=0.25, least=0.25)
+    return spark.createDataFrame([(by_mass, by_density, cost)], "by_mass double, by_density double, cost double").select(*(rounded(c, 3).alias(c) for c in ("by_mass", "by_density", "cost")))

@@ -90,9 +90,50 @@ def cell_occupancy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.groupBy("cell").agg(F.count("*").alias("n"))
 
 
-@query()
+def _sql_mixed(keys: tuple[str, ...]) -> str:
+    found = "12345::bigint"
+    for key in keys:
+        found = f"(({found} * 48271 + {key} % {codec.MIX}) % {codec.MIX})"
+    return f"(({found} * 69621) % {codec.MIX})"
+
+
+_PERCENTS = (1, 4, 5, 20, 30, 40)
+_ENDS = [" + ".join(f"2 * ceil(m * {p} / 100e0 / 2)" for p in _PERCENTS[: n + 1]) for n in range(len(_PERCENTS) - 1)]
+_SUBSAMPLE = f"case {' '.join(f'when n < {end} then {p}' for end, p in zip(_ENDS, _PERCENTS, strict=False))} else {_PERCENTS[-1]} end"
+
+
+@query(f", r as (select l_partkey, row_number() over (order by {_sql_mixed(_KEYS)}, {_K}) - 1 as n, count(*) over () as m from p) select ({_SUBSAMPLE})::int as subsample, count(*) as n, sum(l_partkey)::bigint as s from r group by 1")
 def subsample_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return codec.split(views.particles(spark, sf_dir), _KEYS, [1, 4, 5, 20, 30, 40]).groupBy("subsample").agg(F.count("*").alias("n"))
+    found = codec.subsamples(views.particles(spark, sf_dir), _KEYS, _PERCENTS)
+    return found.groupBy("subsample").agg(F.count("*").alias("n"), F.sum("l_partkey").alias("s"))
+
+
+_SNAPSHOT = f"s as (select {_K}, x, y, z, v as vx, w * 1e2 - 2500 as vy, 1e3 - v as vz, phi as potential from p)"
+
+
+def _snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.particles(spark, sf_dir).select(*_KEYS, F.col("l_orderkey").alias("id"), "x", "y", "z", F.col("v").alias("vx"), (F.col("w") * 100 - 2500).alias("vy"), (1000 - F.col("v")).alias("vz"), F.col("phi").alias("potential"))
+
+
+def _sql_code(v: str, top: str) -> str:
+    return f"round_even(greatest(0e0, least(4095e0, ({v} / {top} + 1) * 2047)), 0)::int"
+
+
+@query(f", {_SNAPSHOT} select {_K}, l_orderkey as id, {', '.join(sql_round(f'({_sql_code(v, top)} / 2047e0 - 1) * {top}') + f' as {v}' for v, top in (('vx', '5e3'), ('vy', '5e3'), ('vz', '5e3'), ('potential', '1e5')))} from s")
+def snapshot_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Velocities on three axes, the potential and the id through the whole codec."""
+    coded = codec.encode_snapshot(_snapshot(spark, sf_dir), BOX, GRID, VMAX, 1e5)
+    found = codec.decode_snapshot(coded, BOX, GRID, VMAX, 1e5)
+    return found.select(*_KEYS, "id", *(rounded(c).alias(c) for c in ("vx", "vy", "vz", "potential")))
+
+
+@query("select unnest(['L', 'Ngrid', 'vmax', 'Ndata']) as name, unnest(['200.0', '400', '5000.0', (select count(*) from lineitem)::varchar]) as value", views_of=False)
+def codec_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from boxstats.sources import sinks
+
+    rows = views.particles(spark, sf_dir).agg(F.count("*").cast("string").alias("n"))
+    fixed = sinks.attributes({"L": BOX, "Ngrid": GRID, "vmax": VMAX})
+    return rows.select(F.explode(F.map_concat(fixed, F.create_map(F.lit("Ndata"), "n"))).alias("name", "value"))
 
 
 @query(f"""select (epoch_us(ts)::bigint // 86400000000)::bigint as snap, count(*) as n, {sql_round('avg(value)')} as mean, {sql_round('stddev_pop(value)')} as spread, min(value) as least, max(value) as largest from events group by 1""", views_of=False)

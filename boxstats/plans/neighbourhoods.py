@@ -214,6 +214,17 @@ def xi_rppi_jackknife(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _jackknifed(spark, sf_dir, pairs.Bins("rp_pi", 5.0, 4, 4, 5.0), ("rp_bin", "pi_bin"))
 
 
+@query(f""", d as (select round(x * 1e3)::bigint + 200000 * round(y * 1e3)::bigint + 40000000000 * round(z * 1e3)::bigint as qid, x, y, z, count(*) as c from p group by x, y, z),
+nn as (select qid, any_value(c) as c, arg_min(tid, (r, tid)) as tid from (select d.qid, d.c, h.id as tid, {sql_distance('d', 'h')} as r from d, h) group by qid), o as (select tid, sum(c) as n from nn group by 1)
+select h.id as tid, coalesce(o.n, 0)::bigint as n, {sql_round('coalesce(o.n, 0) * (select count(*) from h) / (select count(*) from p)')} as weight from h left join o on o.tid = h.id""")
+def matter_voronoi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Particles as the points that weigh the tracers' cells; those at one place count together."""
+    at = [F.round(F.col(a) * 1000).cast("long") for a in "xyz"]
+    placed = views.particles(spark, sf_dir).groupBy("x", "y", "z").agg(F.count("*").alias("c")).withColumn("qid", at[0] + 200000 * at[1] + 40000000000 * at[2])
+    found = neighbours.matter_weights(placed, _tracers(spark, sf_dir), BOX, count="c")
+    return found.select("tid", "n", rounded("weight").alias("weight"))
+
+
 _LINK = f"link as (select a.id as i, b.id as j from h a, h b where a.id <> b.id and {sql_distance('a', 'b')} <= 4e0)"
 
 

@@ -75,6 +75,38 @@ class Hdf5Reader(_Files):
                 yield from _batches(columns, _names(ddl))
 
 
+class Hdf5HeaderReader(_Files):
+    """One row a file, of the attributes that ``HEADER`` names and of all of Config, Header and
+    Parameters as text."""
+
+    def read(self, partition: InputPartition) -> Iterator[tuple]:
+        if h5py is None:
+            raise ImportError("the HDF5 source needs h5py")
+        with h5py.File(partition.value, "r") as f:
+            groups = {g: dict(f[g].attrs) for g in ("Config", "Header", "Parameters") if g in f}
+            head, more = groups["Header"], groups.get("Parameters", {})
+            told = {f"{g}/{k}": str(v) for g, attrs in groups.items() for k, v in attrs.items()}
+            whole = lambda v, kind: [kind(x) for x in np.atleast_1d(v)]
+            yield (
+                float(head["Time"]), float(head["Redshift"]), whole(head["NumPart_Total"], int), whole(head["MassTable"], float), float(head["BoxSize"]), int(head["NumFilesPerSnapshot"]),
+                *(float(more[k] if k in more else head[k]) for k in ("Omega0", "OmegaLambda", "HubbleParam")), told,
+            )
+
+
+class Hdf5Header(DataSource):
+    """``format("hdf5_header")``: options path and files (numbers between commas)."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "hdf5_header"
+
+    def schema(self) -> str:
+        return f"{HEADER}, attributes map<string,string>"
+
+    def reader(self, schema: StructType) -> DataSourceReader:
+        return Hdf5HeaderReader({k.lower(): v for k, v in self.options.items()}, ".hdf5")
+
+
 class Hdf5Snapshot(DataSource):
     """``format("hdf5_snapshot")``: options path, block (pos, vel, ids, potential), type, files (numbers
     between commas), physicalVelocities."""
@@ -138,5 +170,6 @@ class RecordSnapshot(DataSource):
 
 
 def register(spark) -> None:
+    spark.dataSource.register(Hdf5Header)
     spark.dataSource.register(Hdf5Snapshot)
     spark.dataSource.register(RecordSnapshot)

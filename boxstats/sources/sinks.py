@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -16,6 +17,73 @@ def text_lines(rows: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     return rows.select(F.concat_ws("\t", *cells).alias("value"))
 
 
+def spaced_lines(rows: DataFrame) -> DataFrame:
+    """All columns as text, with one space between them."""
+    return rows.select(F.concat_ws(" ", *(F.col(f"`{c}`").cast("string") for c in rows.columns)).alias("value"))
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is something at a path, in whatever store Spark reads it from."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def reused(spark: SparkSession, path: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """A result that is made and written only if it isn't there. Unfinished output (without the
+    mark that Spark's writers leave last) is made anew."""
+    if not exists(spark, f"{path}/_SUCCESS"):
+        make().write.mode("overwrite").option("compression", "zstd").parquet(path)
+    return spark.read.parquet(path)
+
+
+def write_halos(rows: DataFrame, path: str, header: Sequence[str] = ()) -> None:
+    """A catalogue as text, a file for each partition, each with the # line of column names and
+    further header lines, so that files can be read alone."""
+    names = [f"#{' '.join(rows.columns)}", *(f"#{line}" for line in header)]
+    body = spaced_lines(rows)
+
+    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head = True
+        for batch in batches:
+            if head:
+                yield pa.RecordBatch.from_arrays([pa.array(names, batch.schema[0].type)], schema=batch.schema)
+            head = False
+            yield batch
+
+    body.mapInArrow(told, "value string").write.text(path)
+
+
+def write_compressed(rows: DataFrame, path: str, box: float, grid: int, vmax: float, pmax: float, percents: Sequence[int], keys: Sequence[str] = ("id",)) -> None:
+    """A snapshot by the codec, in one job: a folder for each subsample, ordered by cell within,
+    and the attributes as JSON beside it. What is whole already is left as it is."""
+    from boxstats.operators import codec
+
+    spark = rows.sparkSession
+    if not exists(spark, f"{path}/data/_SUCCESS"):
+        dealt = codec.subsamples(rows, keys, percents)
+        coded = codec.encode_snapshot(dealt, box, grid, vmax, pmax)
+        ordered = coded.repartitionByRange("subsample", "cell", "packed").sortWithinPartitions("subsample", "cell")
+        ordered.write.mode("overwrite").partitionBy("subsample").option("compression", "zstd").parquet(f"{path}/data")
+    if not exists(spark, f"{path}/info/_SUCCESS"):
+        write_info(spark, f"{path}/info", {"L": box, "Ngrid": grid, "vmax": vmax, "pmax": pmax, "subsamp_percent": list(percents), "Ndata": rows.count()})
+
+
+def read_compressed(spark: SparkSession, path: str, subsamples: Sequence[int] | None = None) -> DataFrame:
+    """The decoded particles of some or all subsamples (by their percents); only their folders are read."""
+    from boxstats.operators import codec
+
+    info = spark.read.json(f"{path}/info", multiLine=True).first()
+    coded = spark.read.parquet(f"{path}/data")
+    if subsamples is not None:
+        coded = coded.where(F.col("subsample").isin(*subsamples))
+    return codec.decode_snapshot(coded, info["L"], info["Ngrid"], info["vmax"], info["pmax"])
+
+
+def attributes(info: Mapping[str, object]) -> Column:
+    """A codec's attributes as a map of text."""
+    return F.create_map(*(F.lit(x) for k, v in info.items() for x in (k, str(v))))
+
+
 def write_table(rows: DataFrame, path: str, header: Sequence[str] = (), order: Sequence[str] = ()) -> None:
     """A small result table as one text file, # header lines first."""
     head = rows.sparkSession.createDataFrame([(n, f"# {line}") for n, line in enumerate(header)], "n int, value string")

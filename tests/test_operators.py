@@ -197,3 +197,35 @@ def test_streamed_snapshots(spark, tmp_path):
     snapshots.for_each_snapshot(stream, "snap", lambda d: snapshots.summary(d, "snap", "value"), str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
     found = spark.read.parquet(str(tmp_path / "out")).orderBy("snap").collect()
     assert [(r.snap, r.n, r["mean"]) for r in found] == [(k, 10, 18.0 + k) for k in range(4)]
+
+
+def test_exact_subsamples(spark):
+    frame = spark.range(1000).repartition(3)
+    found = {r.subsample: r["count"] for r in codec.subsamples(frame, ["id"], [1, 4, 5, 20, 70]).groupBy("subsample").count().collect()}
+    assert found == {1: 10, 4: 40, 5: 50, 20: 200, 70: 700}
+    small = {r.subsample: r["count"] for r in codec.subsamples(spark.range(30), ["id"], [10, 15, 75]).groupBy("subsample").count().collect()}
+    assert small == {10: 4, 15: 6, 75: 20}
+    again = [codec.subsamples(frame.repartition(n), ["id"], [30, 70]).where("subsample = 30").agg({"id": "sum"}).first()[0] for n in (1, 5)]
+    assert again[0] == again[1]
+    assert codec.subsamples(frame.limit(0), ["id"], [30, 70]).count() == 0
+
+
+def test_orders_by_cell_and_tracer(spark):
+    frame = spark.createDataFrame([(i, (i * 7) % 5) for i in range(40)], "qid long, tid long").repartition(4)
+    parts = neighbours.by_tracer(frame).rdd.glom().collect()
+    flat = [(r.tid, r.qid) for p in parts for r in p]
+    assert flat == sorted(flat) and len(flat) == 40
+    cells = [r.cell for p in codec.by_cell(frame.withColumnRenamed("tid", "cell")).rdd.glom().collect() for r in p]
+    assert cells == sorted(cells)
+
+
+def test_predictor_and_fit(spark):
+    from boxstats.operators import predictors
+
+    cells = spark.createDataFrame([(i, 0.3 * (i * 7 % 10), 1.0 + i) for i in range(10)] + [(99, -1.0, 2.0)], "id long, delta double, w double")
+    found = {r.id: r.matter for r in predictors.predicted(cells, lambda p, d, w: p[0] * d + w, [2.0]).collect()}
+    raw = np.array([(1 + 0.3 * (i * 7 % 10)) ** 2 * (1.0 + i) for i in range(10)])
+    assert np.allclose([found[i] for i in range(10)], raw / raw.mean()) and found[99] == 0
+    model = lambda p: predictors.dust(F.col("w"), F.col("delta"), F.lit(1.0), p[0], p[1])
+    best, cost = predictors.fitted(cells.where("delta > -1").withColumn("data", model([0.75, -0.5])), model, "data", [0.5, 0.0], step=0.25)
+    assert np.allclose(best, [0.75, -0.5], atol=0.01) and cost < 1e-3
