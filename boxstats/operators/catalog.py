@@ -82,11 +82,13 @@ def region(njn: int, box: float) -> Column:
 
 def densest(objects: DataFrame, density: float, box: float, h: float, mass: str, mpart: float, key: str = "id", least: int = 100) -> DataFrame | None:
     """The most massive objects at a fixed number density (of (Mpc)^-3, in a box of Mpc/h);
-    None if there aren't that many, they are too few or too small. A top-k, not a sort."""
+    None if there aren't that many, they are too few or too small."""
+    from boxstats.operators.statistics import least as lowest
+
     n = int(density * (box / h) ** 3)
     if n < least or objects.count() < n:
         return None
-    top = objects.orderBy(F.desc(mass), F.desc(key)).limit(n)
+    top = lowest(objects, mass, n, [key], descending=True)
     if not top.agg(F.min(mass)).first()[0] > 40 * mpart:
         return None
     return top

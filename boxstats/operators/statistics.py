@@ -33,10 +33,62 @@ def mass_function(objects: DataFrame, masses: Sequence[str], low: float, width:
     return every.join(counted, "bin", "left").select("bin", mid.alias("mass"), *rates)
 
 
+def ranges(rows: DataFrame, value: str) -> Column:
+    """The number of a row's range of values, of as many as there are shuffle partitions, between
+    approximate quantiles."""
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    edges = sorted(set(rows.approxQuantile(value, [i / n for i in range(1, n)], 0.5 / n))) if n > 1 else []
+    return F.size(F.filter(F.array(*map(F.lit, edges)), lambda e: e <= F.col(value))) if edges else F.lit(0)
+
+
+def _by_range(rows: DataFrame, value: str) -> tuple[DataFrame, list[int]]:
+    """Rows with their range (``__range``), and how many rows are before each range and in all."""
+    placed = rows.withColumn("__range", ranges(rows, value))
+    counts = dict(placed.groupBy("__range").count().collect())
+    before = [0]
+    for i in range(max(counts, default=-1) + 1):
+        before.append(before[-1] + counts.get(i, 0))
+    return placed, before
+
+
+def least(rows: DataFrame, value: str, n: int, ties: Sequence[str] = (), descending: bool = False) -> DataFrame:
+    """The n rows of the least values (or largest; nulls not among them), of equal ones those of the
+    least (largest) ``ties``. Ranges of values are counted; those on this side of the n-th row's are
+    taken whole and only that one is put in order, so neither a task nor the driver sees all."""
+    placed, before = _by_range(rows.where(F.col(value).isNotNull()), value)
+    n = min(n, before[-1])
+    if n <= 0:
+        return rows.limit(0)
+    wanted = before[-1] - n if descending else n
+    edge = next(i for i in range(len(before) - 1) if (before[i] <= wanted < before[i + 1] if descending else before[i] < wanted <= before[i + 1]))
+    rest = before[edge + 1] - wanted if descending else wanted - before[edge]
+    turn = F.desc if descending else F.asc
+    at = F.row_number().over(Window.partitionBy("__range").orderBy(*(turn(c) for c in (value, *ties))))
+    beyond = F.col("__range") > edge if descending else F.col("__range") < edge
+    border = placed.where(F.col("__range") == edge).withColumn("__n", at).where(F.col("__n") <= rest)
+    return placed.where(beyond).unionByName(border.drop("__n")).drop("__range")
+
+
 def percentiles(rows: DataFrame, value: str, at: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
-    """perc and value, linear between ranks."""
-    found = rows.groupBy(*by).agg(F.percentile(value, F.array(*map(F.lit, at))).alias("p"))
-    return found.select(*by, F.posexplode("p").alias("n", "value")).select(*by, F.element_at(F.array(*(F.lit(100 * a) for a in at)), F.col("n") + 1).alias("perc"), "value")
+    """perc and value, linear between ranks. Groups have one buffer each; all rows together are
+    counted by ranges of the value, and only the ranges that hold the ranks are put in order."""
+    if by:
+        found = rows.groupBy(*by).agg(F.percentile(value, F.array(*map(F.lit, at))).alias("p"))
+        return found.select(*by, F.posexplode("p").alias("n", "value")).select(*by, F.element_at(F.array(*(F.lit(100 * a) for a in at)), F.col("n") + 1).alias("perc"), "value")
+    narrow = rows.select(F.col(value).cast("double").alias("v")).where(F.col("v").isNotNull()).persist()  # read four times
+    placed, before = _by_range(narrow, "v")
+    n = before[-1]
+    if not n:
+        return rows.sparkSession.range(0).select(F.lit(0.0).alias("perc"), F.lit(0.0).alias("value"))
+    targets = [(a, math.floor(a * (n - 1)), math.ceil(a * (n - 1))) for a in at]
+    ranks = sorted({r for _, low, high in targets for r in (low, high)})
+    held = sorted({next(i for i in range(len(before) - 1) if before[i] <= r < before[i + 1]) for r in ranks})
+    first = F.element_at(F.array(*(F.lit(x).cast("long") for x in before)), F.col("__range") + 1)
+    at_ = first + F.row_number().over(Window.partitionBy("__range").orderBy("v")) - 1
+    picked = placed.where(F.col("__range").isin(held)).withColumn("r", at_).where(F.col("r").isin(ranks))
+    row = picked.agg(*(F.max(F.when(F.col("r") == r, F.col("v"))).alias(f"r{r}") for r in ranks))
+    lines = [F.struct(F.lit(100 * a).alias("perc"), (F.col(f"r{low}") + (F.col(f"r{high}") - F.col(f"r{low}")) * (a * (n - 1) - low)).alias("value")) for a, low, high in targets]
+    return row.select(F.inline(F.array(*lines)))
 
 
 def weighted_percentile(rows: DataFrame, value: str, weight: str, at: Sequence[float]) -> DataFrame:
@@ -95,12 +147,10 @@ def aligned(rows: DataFrame, table: DataFrame, by: Sequence[str], x: str, y: str
     and the first behind it, so no task sees more than its range.
     """
     f = (lambda c: F.log(c)) if logs else (lambda c: c)
-    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    edges = sorted(set(table.approxQuantile(x, [i / n for i in range(1, n)], 0.5 / n))) if n > 1 else []
-    slot = F.size(F.filter(F.array(*map(F.lit, edges)), lambda e: e <= F.col(x))) if edges else F.lit(0)
+    slot, most = ranges(table, x), int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     points = table.select(*by, F.col(x), slot.alias("__s"), F.struct(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).alias("__p"))
     held = points.groupBy(*by, "__s").agg(F.min("__p").alias("first"), F.max("__p").alias("last"))
-    slots = rows.sparkSession.range(len(edges) + 1).select(F.col("id").cast("int").alias("__s"))
+    slots = rows.sparkSession.range(most).select(F.col("id").cast("int").alias("__s"))
     full = held.select(*by).distinct().crossJoin(F.broadcast(slots)).join(held, [*by, "__s"], "left")
     order = Window.partitionBy(*by).orderBy("__s")
     before = F.last("last", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from boxstats.functions import scalars
 from boxstats.operators import catalog, sampling, statistics
-from boxstats.plans.registry import BOX, query, rounded, sql_mod, sql_round
+from boxstats.plans.registry import BOX, query, rounded, sql_mixed, sql_mod, sql_round
 from boxstats.sources import views
 
 H, MPART = 0.6736, 1e9
@@ -271,7 +271,7 @@ def latin_hypercube(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.latin_hypercube(spark, 128, 4, symmetric=True)
 
 
-@query()
+@query(f"select * from p order by {sql_mixed(('l_orderkey', 'l_partkey', 'l_suppkey', 'l_linenumber'), 7)}, l_orderkey, l_partkey, l_suppkey, l_linenumber limit 1000")
 def hash_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     particles = views.particles(spark, sf_dir)
     return sampling.chosen(particles, 1000, ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"])

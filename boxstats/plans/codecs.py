@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from boxstats.operators import codec
-from boxstats.plans.registry import BOX, query, rounded, sql_round
+from boxstats.plans.registry import BOX, query, rounded, sql_mixed, sql_round
 from boxstats.sources import views
 
 VMAX, GRID = 5000.0, 400
@@ -90,19 +90,12 @@ def cell_occupancy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.groupBy("cell").agg(F.count("*").alias("n"))
 
 
-def _sql_mixed(keys: tuple[str, ...]) -> str:
-    found = "12345::bigint"
-    for key in keys:
-        found = f"(({found} * 48271 + {key} % {codec.MIX}) % {codec.MIX})"
-    return f"(({found} * 69621) % {codec.MIX})"
-
-
 _PERCENTS = (1, 4, 5, 20, 30, 40)
 _ENDS = [" + ".join(f"2 * ceil(m * {p} / 100e0 / 2)" for p in _PERCENTS[: n + 1]) for n in range(len(_PERCENTS) - 1)]
 _SUBSAMPLE = f"case {' '.join(f'when n < {end} then {p}' for end, p in zip(_ENDS, _PERCENTS, strict=False))} else {_PERCENTS[-1]} end"
 
 
-@query(f", r as (select l_partkey, row_number() over (order by {_sql_mixed(_KEYS)}, {_K}) - 1 as n, count(*) over () as m from p) select ({_SUBSAMPLE})::int as subsample, count(*) as n, sum(l_partkey)::bigint as s from r group by 1")
+@query(f", r as (select l_partkey, row_number() over (order by {sql_mixed(_KEYS)}, {_K}) - 1 as n, count(*) over () as m from p) select ({_SUBSAMPLE})::int as subsample, count(*) as n, sum(l_partkey)::bigint as s from r group by 1")
 def subsample_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = codec.subsamples(views.particles(spark, sf_dir), _KEYS, _PERCENTS)
     return found.groupBy("subsample").agg(F.count("*").alias("n"), F.sum("l_partkey").alias("s"))

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from boxstats.operators.codec import MIX
 from boxstats.sources import views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,3 +55,11 @@ def sql_distance(a: str, b: str) -> str:
 def sql_mod(x: str, n: str) -> str:
     """The remainder that is never negative."""
     return f"((({x}) % {n} + {n}) % {n})"
+
+
+def sql_mixed(keys: tuple[str, ...], seed: int = 0) -> str:
+    """The number that ``codec.mixed`` makes of keys."""
+    found = f"{seed + 12_345}::bigint"
+    for key in keys:
+        found = f"(({found} * 48271 + {key} % {MIX}) % {MIX})"
+    return f"(({found} * 69621) % {MIX})"
