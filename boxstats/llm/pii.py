@@ -154,7 +154,7 @@ def features(text: str, span: Span) -> list[float]:
         KINDS.index(kind), size, digits, digits / size, lowers / size, uppers / size, sum(c in _HEX for c in body) / size,
         max((len(x) for x in _DIGITS.findall(body)), default=0), len(set(body)) / size, changes / size, sum(body.count(c) for c in " -.:()") / size, body.count("."), body.count("-"),
         float(luhn(numbers)) if numbers else 0.0, float(size > 3 and sum(int(c, 36) if c.isalnum() and c.isascii() else 0 for c in body) % 9 == 0),
-        float(body.startswith(("AKIA", "ghp_", "sk-", "sk_", "xox"))), float(body[:3] in ("000", "666") or body[:1] == "9"),
+        float(body.startswith(("AKIA", "ghp_", "sk-", "sk_", "xox", "eyJ"))), float(body[:3] in ("000", "666") or body[:1] == "9"),
         float("=" in before[-4:]), float('"' in before[-2:] or "'" in before[-2:]), float(before[-1:].isalnum()), float(after.isalnum()), float(after in ("%", "€", "$")), float(before[-2:].strip() in ("$", "€", "#")),
         float(bool(_SECRET_WORD.search(before))), float(bool(_PHONE_WORD.search(before))), float(bool(_ID_WORD.search(before))), float(bool(_OTHER_WORD.search(before))),
     ]
@@ -186,7 +186,7 @@ def _example(rng: random.Random) -> tuple[str, Span | None]:
         "mac": lambda: ("", rng.choice((":", "-")).join(h(2) for _ in range(6))),
         "ipv6": lambda: ("", rng.choice((":".join(h(4) for _ in range(8)), f"2001:db8::{h(4)}:{h(4)}", f"fe80::{h(4)}:{h(4)}:{h(4)}:{h(4)}"))),
         "secret": lambda: (rng.choice(("password=", "token = ", 'token = "', "secret: ", "api_key=", "pwd=")), rng.choice((h(18), h(40), h(32), h(24, mixed), h(12, mixed) + d(2)))),
-        "key": lambda: ("", rng.choice(("AKIA" + h(16, upper), "ghp_" + h(36, mixed), "sk-" + h(32, mixed)))),
+        "key": lambda: ("", rng.choice(("AKIA" + h(16, upper), "ghp_" + h(36, mixed), "sk-" + h(32, mixed), "eyJ" + h(rng.randint(17, 60), mixed + "-_")))),
     }
     false = (
         lambda: ("version ", f"{rng.randint(0, 9)}.{rng.randint(0, 20)}.{rng.randint(0, 99)}"), lambda: ("commit ", h(40)), lambda: ("sha ", h(32)), lambda: ("on ", f"20{d(2)}-{rng.randint(10, 12)}-{rng.randint(10, 28)}"),
