@@ -423,10 +423,15 @@ def similar_representatives(docs: DataFrame, similarity: float = 0.8, shingle: i
     links = verified(members.select("name", F.explode("pivots").alias("pivot")).where("name <> pivot").select(F.least("name", "pivot").alias("a"), F.greatest("name", "pivot").alias("b")))
     stars = store.keep(components(links), "similar-stars")
     apart = members.join(stars.withColumnRenamed("id", "name"), "name", "left").select("band", "value", "name", F.coalesce("component_id", "name").alias("root"))
-    several = apart.groupBy("band", "value").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1").select("band", "value")
+    # Two texts of a band that aren't connected: one at least isn't in the band's largest group, so
+    # a group of many, connected by now, doesn't meet itself again.
+    sizes = apart.groupBy("band", "value", "root").agg(F.count("*").alias("n"))
+    several = sizes.groupBy("band", "value").agg(F.max(F.struct("n", "root")).getField("root").alias("large"), F.count("*").alias("roots")).where("roots > 1")
+    several = store.keep(several.select("band", "value", "large"), "similar-several")
     apart = store.keep(apart.join(several, ["band", "value"]), "similar-apart")
-    other = apart.select("band", "value", F.col("name").alias("b"), F.col("root").alias("root_b"))
-    more = verified(apart.withColumnRenamed("name", "a").join(other, ["band", "value"]).where("a < b and root <> root_b").select("a", "b"))
+    other = apart.select("band", "value", F.col("name").alias("other"), F.col("root").alias("other_root"))
+    met = apart.where("root <> large").join(other, ["band", "value"]).where("root <> other_root")
+    more = verified(met.select(F.least("name", "other").alias("a"), F.greatest("name", "other").alias("b")))
     stars = store.keep(components(links.union(more)), "similar-stars")
     rooted = marked.join(stars.withColumnRenamed("id", "name"), "name", "left").select("doc_id", "hash", F.coalesce("component_id", "name").alias("root"))
     return _firsts(docs, store.keep(rooted, "similar-rooted"), id_column)
