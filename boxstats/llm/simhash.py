@@ -21,7 +21,7 @@ from math import comb, log2
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from boxstats.llm import store, tokens
@@ -377,6 +377,19 @@ def _banded(shingle: int, seed: int):
     return run
 
 
+def _each_shingle(shingle: int, seed: int):
+    """Of rows (name, root, text): a row for each distinct shingle, with how many there are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in tokens.blocks(batches, "text", 1 << 20):
+            sets = [shingles(x, shingle, seed) for x in block.column("text").to_pylist()]
+            sizes = np.array(list(map(len, sets)), np.int64)
+            which = pa.array(np.repeat(np.arange(len(sets)), sizes))
+            yield pa.RecordBatch.from_arrays([block.column("name").take(which), block.column("root").take(which), pa.array(np.repeat(sizes, sizes).astype(np.int32)), pa.array(np.concatenate([*sets, np.empty(0, np.uint64)]).view(np.int64))], ["name", "root", "size", "token"])
+
+    return run
+
+
 def _alike(shingle: int, seed: int, similarity: float):
     """Of rows (a, b, text_a, text_b) sorted by a, the pairs similar enough."""
 
@@ -401,8 +414,9 @@ def similar_representatives(docs: DataFrame, similarity: float = 0.8, shingle: i
 
     A fingerprint's bits can't tell such pairs from others (at 0.8 some ten of 64 differ), so
     candidates come from bands of MinHashes: of pairs of 0.8 all but 3 in a million meet. Each
-    link is verified by the shingles. A band's texts are first verified against a few of them,
-    then, pair by pair, those that this hasn't connected; none are left out.
+    link is verified by the shingles. A band's texts are first verified against a few of them;
+    then those that this hasn't connected, where they share one of their rarest shingles, which
+    leaves out none.
     """
     key = F.col(f"`{id_column}`").cast("long")
     rows = docs.select(key.alias("doc_id"), F.col(text_column).cast("string").alias("text"), _whole(docs).alias("hash"))
@@ -423,14 +437,27 @@ def similar_representatives(docs: DataFrame, similarity: float = 0.8, shingle: i
     links = verified(members.select("name", F.explode("pivots").alias("pivot")).where("name <> pivot").select(F.least("name", "pivot").alias("a"), F.greatest("name", "pivot").alias("b")))
     stars = store.keep(components(links), "similar-stars")
     apart = members.join(stars.withColumnRenamed("id", "name"), "name", "left").select("band", "value", "name", F.coalesce("component_id", "name").alias("root"))
-    # Two texts of a band that aren't connected: one at least isn't in the band's largest group, so
-    # a group of many, connected by now, doesn't meet itself again.
-    sizes = apart.groupBy("band", "value", "root").agg(F.count("*").alias("n"))
-    several = sizes.groupBy("band", "value").agg(F.max(F.struct("n", "root")).getField("root").alias("large"), F.count("*").alias("roots")).where("roots > 1")
-    several = store.keep(several.select("band", "value", "large"), "similar-several")
-    apart = store.keep(apart.join(several, ["band", "value"]), "similar-apart")
-    other = apart.select("band", "value", F.col("name").alias("other"), F.col("root").alias("other_root"))
-    met = apart.where("root <> large").join(other, ["band", "value"]).where("root <> other_root")
+    # Texts of a band that aren't connected may be many that share a passage and no more. Two sets of
+    # this similarity have a shingle in common among the rarest of each, as many as they may differ
+    # in and one more; so such texts meet by those, not pair by pair.
+    several = apart.groupBy("band", "value").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1").select("band", "value")
+    several = store.keep(several, "similar-several")
+    left = store.keep(apart.join(several, ["band", "value"]).select("name", "root").distinct(), "similar-left")
+    texts = rows.select("hash", "text").join(distinct.join(left, "name"), "hash").select("name", "root", "text").dropDuplicates(["name"])
+    each = store.keep(texts.mapInArrow(_each_shingle(shingle, seed), "name long, root long, size int, token long"), "similar-shingles")
+    often = store.keep(each.groupBy("token").agg(F.count("*").alias("n")).where("n > 1"), "similar-often")
+    place = F.row_number().over(Window.partitionBy("name").orderBy("n", "token"))
+    ranked = each.join(often, "token", "left").withColumn("n", F.coalesce("n", F.lit(1))).withColumn("place", place)
+    rarest = store.keep(ranked.where((F.col("place") <= F.col("size") - F.ceil(F.col("size") * similarity - 1e-9) + 1) & (F.col("n") > 1)).select("token", "name", "root", "size", "place"), "similar-rarest")
+    # Of two that aren't connected, one at least isn't in the largest group that has the shingle.
+    sizes = rarest.groupBy("token", "root").agg(F.count("*").alias("n"))
+    large = sizes.groupBy("token").agg(F.max(F.struct("n", "root")).getField("root").alias("large"), F.count("*").alias("roots")).where("roots > 1")
+    large = store.keep(large.select("token", "large"), "similar-large")
+    other = rarest.select("token", F.col("name").alias("other"), F.col("root").alias("other_root"), F.col("size").alias("other_size"), F.col("place").alias("other_place"))
+    met = rarest.join(large, "token").where("root <> large").join(other, "token").where("root <> other_root")
+    # The first shingle in common has this many behind it at most; so many must be common.
+    most = 1 + F.least(F.col("size") - F.col("place"), F.col("other_size") - F.col("other_place"))
+    met = met.where(most >= (F.col("size") + F.col("other_size")) * (similarity / (1 + similarity)) - 1e-9)
     more = verified(met.select(F.least("name", "other").alias("a"), F.greatest("name", "other").alias("b")))
     stars = store.keep(components(links.union(more)), "similar-stars")
     rooted = marked.join(stars.withColumnRenamed("id", "name"), "name", "left").select("doc_id", "hash", F.coalesce("component_id", "name").alias("root"))
