@@ -12,28 +12,101 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# The columns of a halo catalogue with merger-tree values, in file order (i: int,
-# l: long, d: double). Ids that the files keep as floats are long here.
-HALO_COLUMNS = (
-    "Scale d, ID l, descScale d, descID l, numProg i, pid i, upid i, descpid i, phantom i, sam_mvir d, mbnd_vir d, rvir d, rs d, "
-    "vrms d, mmp i, ScaleLastMM d, vmax d, x d, y d, z d, vx d, vy d, vz d, Jx d, Jy d, Jz d, spin d, BreadthFirstID l, DepthFirstID l, "
-    "TreeRootID l, OrigHaloID l, snapnum i, NextCoprogDepthFirstID l, LastProgDepthFirstID l, LastMainLeafDepthFirstID l, TidalForce d, "
-    "TidalID l, rs_klypin d, mvir d, m200b d, m200c d, mCustom2 d, mCustom d, Xoff d, Voff d, spin_bullock d, b_to_a d, c_to_a d, "
-    "Ax d, Ay d, Az d, b_to_a_500c d, c_to_a_500c d, Ax_500c d, Ay_500c d, Az_500c d, TbyU d, Mpe_Behroozi d, Mpe_Diemer d, "
-    "halfmassradius d, macc d, mpeak d, vacc d, vpeak d, halfmassscale d, accrate_inst d, accrate_100Myr d, accrate_1tdyn d, "
-    "accrate_2tdyn d, accrate_mpeak d, acc_logvmax_inst d, acc_logvmax_1tdyn d, mpeakscale d, accscale d, firstaccscale d, "
-    "firstaccmvir d, firstaccvmax d, vmaxAtmpeak d, TidalForce_tdyn d, log(vmax/vmax_max(tdyn,tmpeak)) d, time_futmerg d, "
-    "futmerg_mmpid l, spin_mpeakscale d"
-)
+# The columns of a halo catalogue with merger-tree values, in file order. Ids that the
+# files keep as floats are long here.
+HALO_COLUMNS = [
+    ("Scale", "double"),
+    ("ID", "long"),
+    ("descScale", "double"),
+    ("descID", "long"),
+    ("numProg", "int"),
+    ("pid", "int"),
+    ("upid", "int"),
+    ("descpid", "int"),
+    ("phantom", "int"),
+    ("sam_mvir", "double"),
+    ("mbnd_vir", "double"),
+    ("rvir", "double"),
+    ("rs", "double"),
+    ("vrms", "double"),
+    ("mmp", "int"),
+    ("ScaleLastMM", "double"),
+    ("vmax", "double"),
+    ("x", "double"),
+    ("y", "double"),
+    ("z", "double"),
+    ("vx", "double"),
+    ("vy", "double"),
+    ("vz", "double"),
+    ("Jx", "double"),
+    ("Jy", "double"),
+    ("Jz", "double"),
+    ("spin", "double"),
+    ("BreadthFirstID", "long"),
+    ("DepthFirstID", "long"),
+    ("TreeRootID", "long"),
+    ("OrigHaloID", "long"),
+    ("snapnum", "int"),
+    ("NextCoprogDepthFirstID", "long"),
+    ("LastProgDepthFirstID", "long"),
+    ("LastMainLeafDepthFirstID", "long"),
+    ("TidalForce", "double"),
+    ("TidalID", "long"),
+    ("rs_klypin", "double"),
+    ("mvir", "double"),
+    ("m200b", "double"),
+    ("m200c", "double"),
+    ("mCustom2", "double"),
+    ("mCustom", "double"),
+    ("Xoff", "double"),
+    ("Voff", "double"),
+    ("spin_bullock", "double"),
+    ("b_to_a", "double"),
+    ("c_to_a", "double"),
+    ("Ax", "double"),
+    ("Ay", "double"),
+    ("Az", "double"),
+    ("b_to_a_500c", "double"),
+    ("c_to_a_500c", "double"),
+    ("Ax_500c", "double"),
+    ("Ay_500c", "double"),
+    ("Az_500c", "double"),
+    ("TbyU", "double"),
+    ("Mpe_Behroozi", "double"),
+    ("Mpe_Diemer", "double"),
+    ("halfmassradius", "double"),
+    ("macc", "double"),
+    ("mpeak", "double"),
+    ("vacc", "double"),
+    ("vpeak", "double"),
+    ("halfmassscale", "double"),
+    ("accrate_inst", "double"),
+    ("accrate_100Myr", "double"),
+    ("accrate_1tdyn", "double"),
+    ("accrate_2tdyn", "double"),
+    ("accrate_mpeak", "double"),
+    ("acc_logvmax_inst", "double"),
+    ("acc_logvmax_1tdyn", "double"),
+    ("mpeakscale", "double"),
+    ("accscale", "double"),
+    ("firstaccscale", "double"),
+    ("firstaccmvir", "double"),
+    ("firstaccvmax", "double"),
+    ("vmaxAtmpeak", "double"),
+    ("TidalForce_tdyn", "double"),
+    ("log(vmax/vmax_max(tdyn,tmpeak))", "double"),
+    ("time_futmerg", "double"),
+    ("futmerg_mmpid", "long"),
+    ("spin_mpeakscale", "double"),
+]
 # The scales of the value-added columns.
 TIDAL_SCALES = ("R2R200b", "R4R200b", "R6R200b", "R8R200b", "R2Mpch", "R3Mpch", "R5Mpch")
 HESSIAN_SCALES = ("R3Mpch", "R5Mpch")
-_TYPES = {"i": T.IntegerType(), "l": T.LongType(), "d": T.DoubleType()}
+_TYPES = {"int": T.IntegerType(), "long": T.LongType(), "double": T.DoubleType()}
 
 
 def halo_schema() -> T.StructType:
-    found = [re.fullmatch(r"(\S+) ([ild])", c) for c in re.split(r", (?![a-z]+\))", HALO_COLUMNS)]
-    return T.StructType([T.StructField(m[1], _TYPES[m[2]]) for m in found])
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in HALO_COLUMNS])
 
 
 def value_added_schema() -> T.StructType:
