@@ -25,8 +25,12 @@ from pyspark.sql import functions as F
 
 from boxstats.llm import store
 
-#: Public suffixes of two labels that many registered domains share.
-TWO_LABEL_SUFFIXES = ("ac.uk", "co.in", "co.jp", "co.kr", "co.nz", "co.uk", "co.za", "com.ar", "com.au", "com.br", "com.cn", "com.mx", "com.tr", "gov.uk", "ne.jp", "net.au", "or.jp", "org.au", "org.uk")
+#: Labels under which registries of countries give names out. With a country's two
+#: letters behind one of them the public suffix has two labels. A rule in place of the registries'
+#: own list, which isn't here: names under other registries' suffixes count as one domain.
+SECOND_LEVELS = ("ac", "co", "com", "edu", "gen", "go", "gob", "gov", "govt", "id", "mil", "ne", "net", "nom", "or", "org", "sch")
+_TWO = f"^({'|'.join(SECOND_LEVELS)})[.][a-z][a-z]$"
+_ADDRESS = "^[0-9]+[.][0-9]+[.][0-9]+[.][0-9]+$"
 
 #: (verdict, host, path) of the rules that the query asks for.
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
@@ -49,16 +53,25 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, "://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+def _bare(host: Column) -> Column:
+    return F.regexp_replace(host, ":[0-9]*$", "")
+
+
+def _two(bare: Column) -> Column:
+    return F.substring_index(bare, ".", -2).rlike(_TWO)
+
+
 def suffix_of(host: Column) -> Column:
-    """The last label, or the last two if they are a public suffix; without a port."""
-    bare = F.regexp_replace(host, ":[0-9]*$", "")
-    return F.when(F.substring_index(bare, ".", -2).isin(*TWO_LABEL_SUFFIXES), F.substring_index(bare, ".", -2)).otherwise(F.substring_index(bare, ".", -1))
+    """The last label, or the last two if they are a public suffix; without a port. All numeric
+    addresses have one of their own."""
+    bare = _bare(host)
+    return F.when(bare.rlike(_ADDRESS), "address").when(_two(bare), F.substring_index(bare, ".", -2)).otherwise(F.substring_index(bare, ".", -1))
 
 
 def domain_of(host: Column) -> Column:
-    """The suffix and the label before it."""
-    bare = F.regexp_replace(host, ":[0-9]*$", "")
-    return F.when(F.substring_index(bare, ".", -2).isin(*TWO_LABEL_SUFFIXES), F.substring_index(bare, ".", -3)).otherwise(F.substring_index(bare, ".", -2))
+    """The suffix and the label before it; a numeric address whole."""
+    bare = _bare(host)
+    return F.when(bare.rlike(_ADDRESS), bare).when(_two(bare), F.substring_index(bare, ".", -3)).otherwise(F.substring_index(bare, ".", -2))
 
 
 def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str, str]], what: int | None = None) -> Column:
@@ -120,7 +133,6 @@ def judge(pages: DataFrame, outcomes: DataFrame, rules: Sequence[tuple[str, str,
 
 def oracle(threshold: float = 0.5, z: float = 1.645) -> str:
     """The query over ``pages`` and ``labels`` in DuckDB's SQL."""
-    pairs = ", ".join(f"'{x}'" for x in TWO_LABEL_SUFFIXES)
     cases = {}
     for what in (None, 0):
         cases[what] = " ".join(f"when (host = '{r[1]}' or ends_with(host, '.{r[1]}')) and starts_with(path, '{r[2]}') then '{r[1] + r[2] if what is None else r[0]}'" for r in sorted(RULES, key=lambda r: -len(r[1] + r[2])))
@@ -133,10 +145,10 @@ known as (select doc_id, max(case when quality = 0 or toxic = 1 then 1 else 0 en
   where doc_id is not null and (quality = 0 or toxic = 1 or (quality is not null and toxic is not null)) group by doc_id),
 counted as (select host, count(bad)::double as n, coalesce(sum(bad), 0)::double as k
   from seen left join known on seen.page_id = known.doc_id group by host),
-labels_of as (select *, string_split(regexp_replace(host, ':[0-9]*$', ''), '.') as l from counted),
-hosts as (select host, n, k, array_to_string(l[-2:], '.') in ({pairs}) as two, l from labels_of),
-named as (select host, n, k, array_to_string(case when two then l[-3:] else l[-2:] end, '.') as domain,
-  array_to_string(case when two then l[-2:] else l[-1:] end, '.') as suffix from hosts),
+labels_of as (select *, regexp_replace(host, ':[0-9]*$', '') as bare, string_split(bare, '.') as l from counted),
+hosts as (select *, regexp_matches(array_to_string(l[-2:], '.'), '{_TWO}') as two, regexp_matches(bare, '{_ADDRESS}') as address from labels_of),
+named as (select host, n, k, case when address then bare else array_to_string(case when two then l[-3:] else l[-2:] end, '.') end as domain,
+  case when address then 'address' else array_to_string(case when two then l[-2:] else l[-1:] end, '.') end as suffix from hosts),
 domains as (select domain, suffix, sum(n) as n, sum(k) as k from named group by domain, suffix),
 suffixes as (select suffix, sum(n) as n, sum(k) as k from domains group by suffix),
 overall as (select (coalesce(sum(k), 0) + {PRIOR}) / (coalesce(sum(n), 0) + {2 * PRIOR}) as m from suffixes),

@@ -155,6 +155,13 @@ def test_hosts_and_rules(spark):
     assert url_reputation.judge(frame.limit(0), spark.createDataFrame([], "page_id long, bad int")).count() == 0
 
 
+def test_domains_and_suffixes(spark):
+    hosts = {"a.b.gov.au": ("b.gov.au", "gov.au"), "y.com.sg:80": ("y.com.sg", "com.sg"), "10.0.0.1": ("10.0.0.1", "address"), "172.16.0.1:8080": ("172.16.0.1", "address"), "x.y.example.org": ("example.org", "org"), "k.co.uk": ("k.co.uk", "co.uk"), "local": ("local", "local"), "": ("", ""), "com.sg": ("com.sg", "com.sg")}
+    frame = spark.createDataFrame([(h,) for h in hosts], "host string")
+    found = {r.host: (r.d, r.s) for r in frame.select("host", url_reputation.domain_of(frame.host).alias("d"), url_reputation.suffix_of(frame.host).alias("s")).collect()}
+    assert found == hosts
+
+
 def test_bad_hosts_are_blocked(spark):
     rows = [(i, f"http://{'bad' if i % 2 else 'good'}{i % 10}.net/x") for i in range(600)]
     outcomes = [(i, int(i % 2 == 1 and i % 20 != 1)) for i in range(600) if i % 3] + [(5, None), (7, 1), (7, 1)]
