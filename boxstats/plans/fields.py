@@ -12,6 +12,9 @@ from boxstats.plans.registry import BOX, query, rounded, sql_round
 from boxstats.sources import views
 
 G = 8
+#: Added before rounding: some modes are exact decimals that end in 5 behind the last digit kept, and
+#: which way they go would follow the order of sums.
+OFF_TIES = 33e-12
 EDGES = spectral.log_edges(G, 4)
 _SIDE = "25e0"  # of a cell
 
@@ -122,16 +125,16 @@ def mesh_gather(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mesh.gathered(views.halos(spark, sf_dir), field, G, BOX).select("id", "value")
 
 
-@query(f", {_CIC}, {sql_transform('m', '(select ix, iy, iz, value as re, 0e0 as im from cic)', 'i', 'k', 1, [('re', 'im')], '125e-3')} select kx, ky, kz, {sql_round('re')} as re, {sql_round('im')} as im from m")
+@query(f", {_CIC}, {sql_transform('m', '(select ix, iy, iz, value as re, 0e0 as im from cic)', 'i', 'k', 1, [('re', 'im')], '125e-3')} select kx, ky, kz, {sql_round('re + 33e-12')} as re, {sql_round('im + 33e-12')} as im from m")
 def dft_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
     modes = spectral.forward(mesh.cloud_in_cell(views.particles(spark, sf_dir), G, BOX), G)
-    return modes.select("kx", "ky", "kz", rounded("re").alias("re"), rounded("im").alias("im"))
+    return modes.select("kx", "ky", "kz", rounded(F.col("re") + OFF_TIES).alias("re"), rounded(F.col("im") + OFF_TIES).alias("im"))
 
 
-@query(f", {_CIC}, {sql_transform('m', '(select ix, iy, iz, value as re, 0e0 as im from cic)', 'i', 'k', 1, [('re', 'im')], '125e-3')} select kx, ky, kz, {sql_round('re')} as re, {sql_round('im')} as im from m")
+@query(f", {_CIC}, {sql_transform('m', '(select ix, iy, iz, value as re, 0e0 as im from cic)', 'i', 'k', 1, [('re', 'im')], '125e-3')} select kx, ky, kz, {sql_round('re + 33e-12')} as re, {sql_round('im + 33e-12')} as im from m")
 def fft_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
     modes = spectral.forward_slabs(mesh.cloud_in_cell(views.particles(spark, sf_dir), G, BOX), G)
-    return modes.select("kx", "ky", "kz", rounded("re").alias("re"), rounded("im").alias("im"))
+    return modes.select("kx", "ky", "kz", rounded(F.col("re") + OFF_TIES).alias("re"), rounded(F.col("im") + OFF_TIES).alias("im"))
 
 
 _PK = f"bin, {sql_round('k')} as k, n_modes, {sql_round('pk', 4)} as pk"
