@@ -408,13 +408,26 @@ def _alike(shingle: int, seed: int, similarity: float):
     return run
 
 
-def similar_representatives(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, seed: int = 42, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def candidates(rows: DataFrame, distinct: DataFrame, tau: int = 4, seed: int = 42) -> DataFrame:
+    """Pairs (a < b) of names that connect all texts whose fingerprints link. rows: doc_id, hash, text;
+    distinct: the name and one hash of each text."""
+    marked = rows.mapInArrow(_fingerprints(4, seed), "doc_id long, hash long, fp long").select("hash", "fp")
+    named = store.keep(marked.join(distinct, "hash").select("name", "fp").distinct(), "simhash-names")
+    first = store.keep(named.groupBy("fp").agg(F.min("name").alias("pivot")), "simhash-distinct")
+    equal = named.join(first, "fp").select("name", "pivot")
+    ends = [first.select(F.col("fp").alias(c), F.col("pivot").alias(f"pivot_{c}")) for c in ("a", "b")]
+    near = link(first.select("fp"), tau).join(ends[0], "a").join(ends[1], "b").select("pivot_a", "pivot_b")
+    return equal.union(near).where("name <> pivot").select(F.least("name", "pivot").alias("a"), F.greatest("name", "pivot").alias("b")).distinct()
+
+
+def similar_representatives(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, seed: int = 42, id_column: str = "doc_id", text_column: str = "text", tau: int = 4) -> DataFrame:
     """As ``representatives``, with groups connected by texts whose sets of shingles have a Jaccard
     similarity of at least ``similarity``; texts without words are alike.
 
-    A fingerprint's bits can't tell such pairs from others (at 0.8 some ten of 64 differ), so
-    candidates come from bands of MinHashes: of pairs of 0.8 all but 3 in a million meet. Each
-    link is verified by the shingles. A band's texts are first verified against a few of them;
+    Candidates are the texts whose SimHash fingerprints link (at most ``tau`` bits apart, found as
+    for ``near_duplicates``). At 0.8 some ten of 64 bits differ, so others come from bands of
+    MinHashes: of pairs of 0.8 all but 3 in a million meet. Each link is verified by the shingles,
+    so it depends on neither. A band's texts are first verified against a few of them;
     then those that this hasn't connected, where they share one of their rarest shingles, which
     leaves out none.
     """
@@ -434,7 +447,8 @@ def similar_representatives(docs: DataFrame, similarity: float = 0.8, shingle: i
         met = pairs.join(b, "b").join(a, "a").select("a", "b", "text_a", "text_b").sortWithinPartitions("a")
         return store.keep(met.mapInArrow(_alike(shingle, seed, similarity), "a long, b long"), "similar-links")
 
-    links = verified(members.select("name", F.explode("pivots").alias("pivot")).where("name <> pivot").select(F.least("name", "pivot").alias("a"), F.greatest("name", "pivot").alias("b")))
+    alike = candidates(rows.select("doc_id", "hash", "text"), distinct, tau, seed)
+    links = verified(members.select("name", F.explode("pivots").alias("pivot")).where("name <> pivot").select(F.least("name", "pivot").alias("a"), F.greatest("name", "pivot").alias("b")).union(alike))
     stars = store.keep(components(links), "similar-stars")
     apart = members.join(stars.withColumnRenamed("id", "name"), "name", "left").select("band", "value", "name", F.coalesce("component_id", "name").alias("root"))
     # Texts of a band that aren't connected may be many that share a passage and no more. Two sets of

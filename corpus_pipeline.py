@@ -24,7 +24,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (0.8 of five-word shingles) stays."""
+    """One document of each group of near-duplicates stays: texts whose SimHash fingerprints link,
+    and others that MinHashes bring together, if they share 0.8 of their five-word shingles."""
     return simhash.similar_representatives(docs)
 
 

@@ -6,6 +6,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 simhash = pytest.importorskip("boxstats.llm.simhash")
 from boxstats.llm import embeddings, lines, passages  # noqa: E402
@@ -352,3 +353,22 @@ def test_very_long_texts(spark):
     found = {(min(r.doc_id, r.other_id), max(r.doc_id, r.other_id)): r for r in passages.shared(frame).collect()}
     assert set(found) >= {(1, 2)} or set(found) >= {(1, 3), (2, 3)}
     assert max(r.end_word - r.start_word for r in found.values()) >= 29999
+
+
+def test_pipeline_takes_candidates_from_fingerprints(spark, monkeypatch):
+    import corpus_pipeline
+
+    rng = random.Random(21)
+    words = [["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(400)] for _ in range(20)]
+    rows = [(n, " ".join(w)) for n, w in enumerate(words)] + [(100 + n, " ".join([*w[:-1], "changed"])) for n, w in enumerate(words)]
+    apart = {n: bin(simhash.fingerprint(rows[n][1]) ^ simhash.fingerprint(rows[20 + n][1])).count("1") for n in range(20)}
+    close = {n for n, bits in apart.items() if bits <= 4}
+    assert len(close) >= 15
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    hashed = frame.select("doc_id", F.col("doc_id").alias("hash"), "text")
+    found = simhash.candidates(hashed, frame.select(F.col("doc_id").alias("hash"), F.col("doc_id").alias("name"))).collect()
+    assert {(r.a, r.b) for r in found} == {(n, 100 + n) for n in close}
+    # without bands, the pipeline drops those that the fingerprints bring together, and no others
+    monkeypatch.setattr(simhash, "_banded", lambda shingle, seed, made=simhash._banded: lambda batches: (b.set_column(3, "bands", pa.array([[hash(str(x)) % 2**62 for x in (d, "own")] for d in b.column("doc_id").to_pylist()], pa.list_(pa.int64()))) for b in made(shingle, seed)(batches)))
+    kept = {r.doc_id for r in corpus_pipeline.simhash_dedup(spark, frame, "").collect()}
+    assert kept == set(range(20)) | {100 + n for n in range(20) if n not in close}
