@@ -372,3 +372,17 @@ def test_pipeline_takes_candidates_from_fingerprints(spark, monkeypatch):
     monkeypatch.setattr(simhash, "_banded", lambda shingle, seed, made=simhash._banded: lambda batches: (b.set_column(3, "bands", pa.array([[hash(str(x)) % 2**62 for x in (d, "own")] for d in b.column("doc_id").to_pylist()], pa.list_(pa.int64()))) for b in made(shingle, seed)(batches)))
     kept = {r.doc_id for r in corpus_pipeline.simhash_dedup(spark, frame, "").collect()}
     assert kept == set(range(20)) | {100 + n for n in range(20) if n not in close}
+
+
+def test_every_document_of_a_passage_has_a_row(spark):
+    rng = random.Random(9)
+
+    def prose(n):
+        return ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 6))) for _ in range(n)]
+
+    passage = prose(60)
+    rows = [(n, " ".join(prose(40) + passage + prose(40))) for n in range(7)] + [(n, " ".join(prose(140))) for n in range(7, 12)]
+    found = passages.shared(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id for r in found} == set(range(7))
+    rows_ = {(r.doc_id, r.start_word, r.end_word, r.other_id, r.other_start, r.other_end, r.n_equal) for r in found}
+    assert rows_ == {(*r[3:6], *r[:3], r[6]) for r in rows_}
