@@ -232,7 +232,7 @@ def acceleration_field(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _field(spectral.acceleration(modes, G), "a1", "a2", "a3")
 
 
-_RADII = (15.0, 25.0, 40.0)
+_RADII, _LAMS = (15.0, 25.0, 40.0), ("lam1", "lam2", "lam3")
 
 
 @query()
@@ -241,17 +241,14 @@ def tidal_interp_r200b(spark: SparkSession, sf_dir: str) -> DataFrame:
     between fields smoothed on three scales."""
     modes, _ = _matter(spark, sf_dir)
     halos = views.halos(spark, sf_dir)
-    tables = None
-    for radius in _RADII:
-        field = spectral.eigenvalues(spectral.tensor(spectral.smoothed(modes, G, radius, BOX), G)).select(*mesh.CELL, "lam1", "lam2", "lam3")
-        at = mesh.gathered(halos.select("id", "x", "y", "z"), field, G, BOX).select("id", F.lit(math.log10(radius)).alias("lr"), "lam1", "lam2", "lam3")
-        tables = at if tables is None else tables.unionByName(at)
-    own = halos.select("id", F.log10(20 * 0.894 * F.cbrt(F.col("m200b") / 6.4173e13)).alias("lr"))
-    out = None
-    for lam in ("lam1", "lam2", "lam3"):
-        one = statistics.aligned(own, tables, ["id"], "lr", lam).select("id", rounded(lam).alias(lam))
-        out = one if out is None else out.join(one, "id")
-    return out
+    fields = None
+    for n, radius in enumerate(_RADII):
+        field = spectral.eigenvalues(spectral.tensor(spectral.smoothed(modes, G, radius, BOX), G)).select(*mesh.CELL, *(F.col(lam).alias(f"{lam}_{n}") for lam in _LAMS))
+        fields = field if fields is None else fields.join(field, list(mesh.CELL))
+    lr = F.log10(20 * 0.894 * F.cbrt(F.col("m200b") / 6.4173e13))
+    at = mesh.gathered(halos.select("id", "x", "y", "z", lr.alias("lr")), fields, G, BOX)
+    knots = {lam: [(math.log10(radius), F.col(f"{lam}_{n}")) for n, radius in enumerate(_RADII)] for lam in _LAMS}
+    return at.select("id", *(rounded(statistics.between(F.col("lr"), knots[lam])).alias(lam) for lam in _LAMS))
 
 
 _BIAS = f"""waves as (select bin, re, im, {_signed('kx')}::double as qx, {_signed('ky')}::double as qy, {_signed('kz')}::double as qz from (select *, {_SHELL} as bin from mm) where bin is not null),

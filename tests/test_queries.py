@@ -40,3 +40,15 @@ def test_subsamples_cover_all(spark, data):
     found = queries.QUERIES["subsample_split"](spark, data).toPandas()
     assert found.n.sum() == spark.read.parquet(f"{data}/lineitem.parquet").count()
     assert set(found.subsample) == {1, 4, 5, 20, 30, 40}
+
+
+def test_halos_are_interpolated_in_place(spark, data):
+    """No order over all halos and their fields' values, and no row of a halo for each range of it."""
+    plan = queries.QUERIES["tidal_interp_r200b"](spark, data)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan
+
+
+def test_volumes_are_counted_before_they_are_left_out(spark, data):
+    plan = queries.QUERIES["vvf_jackknife"](spark, data)._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[: plan.index("Generate explode")]
+    assert "Aggregate [region#" in plan[len(above) :].split("Join")[0]
