@@ -2,30 +2,111 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import product
+
 import numpy as np
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from boxstats.operators.mesh import nearest_cell
-from boxstats.operators.neighbours import cells_for, near
+from boxstats.operators.neighbours import cut
 from boxstats.operators.sampling import spheres
 
+#: Points that a task looks for hulls around.
+POINTS = 100_000
+
+
+def _spread(m: int, box: float):
+    """Hulls in each cell that they reach, with their centre from its corner."""
+    width = box / m
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["tid", "m", "x", "y", "z", "far", "h"]
+        for batch in batches:
+            at, far = [batch.column(a).to_numpy() for a in "xyz"], batch.column("far").to_numpy() * (1 + 1e-9)
+            own = [np.floor(v / width) for v in at]
+            for steps in product((-1, 0, 1) if m > 2 else range(m), repeat=3):
+                if m > 2:
+                    cells = [i + d for i, d in zip(own, steps, strict=True)]
+                    local = [v - c * width for v, c in zip(at, cells, strict=True)]
+                    good = np.flatnonzero(np.logical_and.reduce([(v >= -far) & (v <= width + far) for v in local]))
+                else:  # a cell may be reached from both sides: all of its points are looked at
+                    cells, local, good = [np.full(len(far), d) for d in steps], [np.full(len(far), np.nan)] * 3, np.arange(len(far))
+                if len(good):
+                    i, j, k = (c[good].astype(np.int64) % m for c in cells)
+                    taken = dict(zip(names, (batch.column(c).take(pa.array(good)) for c in names), strict=True))
+                    yield pa.RecordBatch.from_pydict({"cell": pa.array(((i * m + j) * m + k).astype(np.int32)), "tid": taken["tid"], "m": taken["m"], **{f"l{a}": pa.array(v[good]) for a, v in zip("xyz", local, strict=True)}, **{c: taken[c] for c in names[2:]}})
+
+    return run
+
+
+def _inside(width: float, box: float, directions: np.ndarray, fine: int = 10):
+    """Of rows sorted by cell, part and kind (points, then hulls): the tracers of which a point lies in
+    the hull of a more massive one."""
+    mesh = width / fine
+    corners = np.stack(np.meshgrid(*[np.arange(fine) * mesh] * 3, indexing="ij"), axis=-1).reshape(-1, 3)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, held, points = None, [], None
+        for batch in batches:
+            place = np.stack([batch.column(c).to_numpy() for c in ("cell", "part", "kind")], axis=1)
+            cuts = np.concatenate(([0], np.flatnonzero((place[1:] != place[:-1]).any(axis=1)) + 1, [len(place)])).tolist()
+            for s, e in zip(cuts[:-1], cuts[1:], strict=True):
+                if s == e:
+                    continue
+                rows, to = batch.slice(s, e - s), tuple(place[s, :2].tolist())
+                if to != here:
+                    here, held, points = to, [], None
+                local, at = (np.stack([rows.column(c).to_numpy() for c in of], axis=1) for of in (("lx", "ly", "lz"), "xyz"))
+                tids, m = rows.column("tid").to_numpy(), rows.column("m").to_numpy()
+                if not place[s, 2]:
+                    held.append((local, at, tids, m))
+                    continue
+                if points is None:
+                    local_, at_, tids_, m_ = map(np.concatenate, zip(*held, strict=True))
+                    i = np.clip(local_ / mesh, 0, fine - 1).astype(np.int64)
+                    fines = (i[:, 0] * fine + i[:, 1]) * fine + i[:, 2]
+                    order = np.argsort(fines, kind="stable")
+                    points, held = (np.searchsorted(fines[order], np.arange(fine**3 + 1)), at_[order], tids_[order], m_[order]), []
+                starts, there, owners, masses = points
+                far, planes, out = rows.column("far").to_numpy(), rows.column("h"), []
+                planes = planes.values.to_numpy()[planes.offsets[0].as_py() : planes.offsets[-1].as_py()].reshape(len(far), -1)
+                for n in range(len(far)):
+                    apart = np.maximum(0.0, np.maximum(corners - local[n], local[n] - corners - mesh))
+                    near = np.flatnonzero(~((apart * apart).sum(axis=1) > (far[n] * (1 + 1e-9)) ** 2))
+                    sizes = starts[near + 1] - starts[near]
+                    of = np.repeat(starts[near] - np.concatenate(([0], np.cumsum(sizes)[:-1])), sizes) + np.arange(sizes.sum())
+                    of = of[masses[of] < m[n]]
+                    off = np.mod(there[of] - at[n] + box / 2, box) - box / 2
+                    good = np.flatnonzero((off * off).sum(axis=1) <= far[n] ** 2 * (1 + 1e-12))
+                    good = good[(off[good] @ directions.T <= planes[n]).all(axis=1)]
+                    found, first = np.unique(owners[of[good]], return_index=True)
+                    if len(found):
+                        out.append((found, np.full(len(found), tids[n]), masses[of[good]][first], np.full(len(found), m[n])))
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v)) for v in zip(*out, strict=True)], ["tid", "parent", "m", "pm"])
+
+    return run
+
 
 def substructure(tracers: DataFrame, points: DataFrame, box: float, facets: int = 32) -> DataFrame:
     """tid and parent of tracers of which a point lies in the hull of a more massive one's
     points; hulls are taken greedily, the most massive first, and a tracer swallowed has none.
 
     tracers: tid, x, y, z, m. points: tid, x, y, z (those of a tracer's cell). Hulls are bounded by
-    ``facets`` support planes of fixed directions, which one aggregation finds for all tracers;
-    overlaps come from a join; the greedy choice goes from those in nobody's hull inwards, a round
-    for each level of nesting.
+    ``facets`` support planes of fixed directions, which one aggregation finds for all tracers. Hulls
+    go to the cells they reach, points to their own, in parts if they are many; a task finds the points
+    in each hull, so that only overlaps are rows. The greedy choice goes from those in nobody's hull
+    inwards, a round for each level of nesting.
     """
     i = np.arange(facets) + 0.5
     mu, phi = 1 - 2 * i / facets, np.pi * (1 + 5**0.5) * i
     directions = np.stack([np.sqrt(1 - mu * mu) * np.cos(phi), np.sqrt(1 - mu * mu) * np.sin(phi), mu], axis=1).tolist()
     centre = tracers.select(F.col("tid").alias("cid"), *(F.col(a).alias(f"c{a}") for a in "xyz"), "m")
 
-    def offset(a: str):
+    def offset(a: str) -> Column:
         return F.pmod(F.col(a) - F.col(f"c{a}") + box / 2, F.lit(box)) - box / 2
 
     own = points.join(centre, F.col("tid") == F.col("cid")).select("tid", "m", *(offset(a).alias(f"o{a}") for a in "xyz"), "cx", "cy", "cz")
@@ -33,27 +114,31 @@ def substructure(tracers: DataFrame, points: DataFrame, box: float, facets: int
     far = F.max(F.sqrt(F.col("ox") * F.col("ox") + F.col("oy") * F.col("oy") + F.col("oz") * F.col("oz"))).alias("far")
     hulls = own.groupBy(F.col("tid").alias("parent"), F.col("m").alias("pm"), "cx", "cy", "cz").agg(*support, far)
     hulls = hulls.persist()
-    others = points.join(tracers.select(F.col("tid").alias("id2"), "m"), F.col("tid") == F.col("id2")).select("tid", "x", "y", "z", "m")
+    others = points.join(tracers.select(F.col("tid").alias("id2"), "m"), F.col("tid") == F.col("id2")).select(F.col("tid").cast("long").alias("tid"), *(F.col(a).cast("double").alias(a) for a in "xyz"), F.col("m").cast("double").alias("m"))
     reach = hulls.agg(F.max("far")).first()[0]
     if reach is None:
         return others.select("tid", F.col("tid").alias("parent")).limit(0)
-    centres = hulls.select(F.col("parent").alias("pid"), F.col("cx").alias("x"), F.col("cy").alias("y"), F.col("cz").alias("z"), "pm", "far", *(f"h{n}" for n in range(facets)))
-    asked = others.select(F.col("tid").alias("oid"), "x", "y", "z", "m")
-    met = near(asked, centres.withColumnRenamed("pid", "tid"), box, cells_for(box, max(reach, 1e-9)), ["pm", "far", *(f"h{n}" for n in range(facets))])
-    met = met.where((F.col("m") < F.col("pm")) & (F.col("r") <= F.col("far"))).withColumnsRenamed({"tid": "parent", "oid": "tid", "tx": "cx", "ty": "cy", "tz": "cz"})
-    inside = None
-    for n, d in enumerate(directions):
-        good = d[0] * offset("x") + d[1] * offset("y") + d[2] * offset("z") <= F.col(f"h{n}")
-        inside = good if inside is None else inside & good
-    pairs = met.where(inside).select("tid", "parent", "m", "pm").distinct()
-
-    left, lost = pairs.persist(), None
+    m = max(1, min(64, int(box / (2.5 * max(reach, 1e-9)))))
+    i = [F.pmod(F.floor(F.col(a) / (box / m)), F.lit(m)).cast("int") for a in "xyz"]
+    local = {f"l{a}": F.col(a) - F.floor(F.col(a) / (box / m)) * (box / m) for a in "xyz"}
+    columns = ("tid", "m", "lx", "ly", "lz", "x", "y", "z", "far", "h")
+    stars = others.select(((i[0] * m + i[1]) * m + i[2]).alias("cell"), "tid", "m", *(v.alias(k) for k, v in local.items()), "x", "y", "z", F.lit(0.0).alias("far"), F.lit(None).cast("array<double>").alias("h"))
+    parts = stars.groupBy("cell").agg(F.ceil(F.count("*") / POINTS).cast("int").alias("parts"))
+    bodies = hulls.select(F.col("parent").cast("long").alias("tid"), F.col("pm").cast("double").alias("m"), *(F.col(f"c{a}").cast("double").alias(a) for a in "xyz"), "far", F.array(*(f"h{n}" for n in range(facets))).alias("h"))
+    spread = bodies.mapInArrow(_spread(m, box), "cell int, tid long, m double, lx double, ly double, lz double, x double, y double, z double, far double, h array<double>")
+    there = stars.join(parts, "cell").select("cell", F.pmod(F.xxhash64("x", "y", "z"), "parts").cast("int").alias("part"), F.lit(0).alias("kind"), *columns)
+    here = spread.join(parts, "cell").select("cell", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(1).alias("kind"), *columns)
+    rows = there.unionByName(here).repartition("cell", "part").sortWithinPartitions("cell", "part", "kind")
+    pairs = rows.mapInArrow(_inside(box / m, box, np.array(directions)), "tid long, parent long, m double, pm double").distinct()
+
+    pairs = cut(pairs)
+    left, lost = pairs.select("tid", "parent"), None
     while not left.isEmpty():
         # a parent in nobody's hull stands; what it holds is swallowed, and is no parent
         standing = left.select("parent").distinct().join(left.select(F.col("tid").alias("parent")).distinct(), "parent", "left_anti")
-        gone = left.join(standing, "parent", "left_semi").select("tid").distinct()
+        gone = cut(left.join(standing, "parent", "left_semi").select("tid").distinct())
         lost = gone if lost is None else lost.union(gone)
-        left = left.join(gone, "tid", "left_anti").join(gone.withColumnRenamed("tid", "parent"), "parent", "left_anti").persist()
+        left = cut(left.join(gone, "tid", "left_anti").join(gone.withColumnRenamed("tid", "parent"), "parent", "left_anti"))
     if lost is None:
         return pairs.select("tid", "parent")
     kept = pairs.join(lost, "tid", "left_semi").join(lost.withColumnRenamed("tid", "parent"), "parent", "left_anti")

@@ -176,6 +176,36 @@ def test_substructure_is_greedy(spark):
     assert found == {2: 1}
 
 
+@pytest.mark.parametrize("wide", [1.0, 6.0])
+def test_substructure_against_all_pairs(spark, monkeypatch, wide):
+    """Hulls across the box's ends, and wider than half of it; points are never joined to hulls as rows."""
+    monkeypatch.setattr(tessellation, "near", None, raising=False)
+    monkeypatch.setattr(tessellation, "POINTS", 150, raising=False)
+    rng = np.random.default_rng(21)
+    at, mass = rng.uniform(0, BOX, (60, 3)), rng.permutation(60) + 1.0
+    tracers = spark.createDataFrame([(i, *map(float, p), float(mass[i]), float(wide * mass[i] ** (1 / 3))) for i, p in enumerate(at)], "tid long, x double, y double, z double, m double, radius double")
+    owned = sampling.spheres(tracers, "radius", 1500, BOX).drop("n").localCheckpoint()
+    rows = owned.toPandas()
+    points, of = rows[["x", "y", "z"]].to_numpy(), rows.tid.to_numpy()
+    k = np.arange(32) + 0.5
+    mu, phi = 1 - 2 * k / 32, np.pi * (1 + 5**0.5) * k
+    d = np.stack([np.sqrt(1 - mu * mu) * np.cos(phi), np.sqrt(1 - mu * mu) * np.sin(phi), mu])
+    held = {}
+    for p in range(60):
+        off = (points - at[p] + BOX / 2) % BOX - BOX / 2
+        mine = of == p
+        inside = ((off**2).sum(1) <= (off[mine] ** 2).sum(1).max()) & (off @ d <= (off[mine] @ d).max(0)).all(1)
+        held[p] = {t for t in of[inside].tolist() if mass[t] < mass[p]}
+    parent = {}
+    standing = []
+    for p in np.argsort(-mass).tolist():
+        if not any(p in held[q] for q in standing):
+            standing.append(p)
+        else:
+            parent[p] = max((q for q in standing if p in held[q]), key=lambda q: mass[q])
+    assert parent and {r.tid: r.parent for r in tessellation.substructure(tracers, owned, BOX).collect()} == parent
+
+
 def test_split_cells_clip(spark):
     tracers = spark.createDataFrame([(1, 25.0, 25.0, 25.0, 4.0)], "tid long, x double, y double, z double, radius double")
     cells = spark.createDataFrame([(1, -3.0)], "tid long, delta double")
