@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 from itertools import product
 
 import numpy as np
@@ -16,6 +17,8 @@ from boxstats.operators.sampling import spheres
 
 #: Points that a task looks for hulls around.
 POINTS = 100_000
+#: Tracers whose hulls are chosen at a time: the heaviest, one of so many that are left, but so many at least.
+SHARE, LEAST = 64, 20_000
 
 
 def _spread(m: int, box: float):
@@ -59,11 +62,12 @@ def _inside(width: float, box: float, directions: np.ndarray, fine: int = 10):
                 rows, to = batch.slice(s, e - s), tuple(place[s, :2].tolist())
                 if to != here:
                     here, held, points = to, [], None
-                local, at = (np.stack([rows.column(c).to_numpy() for c in of], axis=1) for of in (("lx", "ly", "lz"), "xyz"))
+                at = np.stack([rows.column(c).to_numpy() for c in "xyz"], axis=1)
                 tids, m = rows.column("tid").to_numpy(), rows.column("m").to_numpy()
                 if not place[s, 2]:
-                    held.append((local, at, tids, m))
+                    held.append((at - np.floor(at / width) * width, at, tids, m))
                     continue
+                local = np.stack([rows.column(c).to_numpy() for c in ("lx", "ly", "lz")], axis=1)
                 if points is None:
                     local_, at_, tids_, m_ = map(np.concatenate, zip(*held, strict=True))
                     i = np.clip(local_ / mesh, 0, fine - 1).astype(np.int64)
@@ -91,58 +95,86 @@ def _inside(width: float, box: float, directions: np.ndarray, fine: int = 10):
     return run
 
 
-def substructure(tracers: DataFrame, points: DataFrame, box: float, facets: int = 32) -> DataFrame:
+def _overlaps(points: DataFrame, hulls: DataFrame, box: float, directions: np.ndarray) -> DataFrame:
+    """tid, parent, m and pm of the tracers that have one of the points in the hull of a more massive one, some
+    of them several times. points: tid, m, x, y, z. hulls: tid, m, x, y, z, far, h."""
+    reach = hulls.agg(F.max("far")).first()[0]
+    m = max(1, min(64, int(box / (2.5 * max(reach or 0.0, 1e-9)))))
+    i = [F.pmod(F.floor(F.col(a) / (box / m)), F.lit(m)).cast("int") for a in "xyz"]
+    columns = ("tid", "m", "lx", "ly", "lz", "x", "y", "z", "far", "h")
+    stars = points.select(((i[0] * m + i[1]) * m + i[2]).alias("cell"), "tid", "m", *(F.lit(0.0).alias(f"l{a}") for a in "xyz"), "x", "y", "z", F.lit(0.0).alias("far"), F.lit(None).cast("array<double>").alias("h"))
+    parts = F.broadcast(stars.groupBy("cell").agg(F.ceil(F.count("*") / POINTS).cast("int").alias("parts")))  # at most 64^3 rows
+    spread = hulls.mapInArrow(_spread(m, box), "cell int, tid long, m double, lx double, ly double, lz double, x double, y double, z double, far double, h array<double>")
+    there = stars.join(parts, "cell").select("cell", F.pmod(F.xxhash64("x", "y", "z"), "parts").cast("int").alias("part"), F.lit(0).alias("kind"), *columns)
+    here = spread.join(parts, "cell").select("cell", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(1).alias("kind"), *columns)
+    rows = there.unionByName(here).repartition("cell", "part").sortWithinPartitions("cell", "part", "kind")
+    return rows.mapInArrow(_inside(box / m, box, directions), "tid long, parent long, m double, pm double")
+
+
+def substructure(tracers: DataFrame, points: DataFrame | Callable[[DataFrame], DataFrame], box: float, facets: int = 32) -> DataFrame:
     """tid and parent of tracers of which a point lies in the hull of a more massive one's
     points; hulls are taken greedily, the most massive first, and a tracer swallowed has none.
 
-    tracers: tid, x, y, z, m. points: tid, x, y, z (those of a tracer's cell). Hulls are bounded by
-    ``facets`` support planes of fixed directions, which one aggregation finds for all tracers. Hulls
+    tracers: tid, x, y, z, m. points: tid, x, y, z (those of a tracer's cell), or what makes some tracers' points
+    of them, with their columns m, cx, cy and cz (the centre). Hulls are bounded by
+    ``facets`` support planes of fixed directions, which one aggregation finds. Hulls
     go to the cells they reach, points to their own, in parts if they are many; a task finds the points
-    in each hull, so that only overlaps are rows. The greedy choice goes from those in nobody's hull
-    inwards, a round for each level of nesting.
+    in each hull, so that only overlaps are rows.
+
+    The heaviest tracers are settled first, then what their hulls that stand swallow among all others, then
+    the heaviest of those left: overlaps of hulls that are swallowed anyway are never made. Of the overlaps of
+    the tracers taken together, the greedy choice goes from those in nobody's hull inwards, a round for each
+    level of nesting.
     """
     i = np.arange(facets) + 0.5
     mu, phi = 1 - 2 * i / facets, np.pi * (1 + 5**0.5) * i
-    directions = np.stack([np.sqrt(1 - mu * mu) * np.cos(phi), np.sqrt(1 - mu * mu) * np.sin(phi), mu], axis=1).tolist()
-    centre = tracers.select(F.col("tid").alias("cid"), *(F.col(a).alias(f"c{a}") for a in "xyz"), "m")
+    directions = np.stack([np.sqrt(1 - mu * mu) * np.cos(phi), np.sqrt(1 - mu * mu) * np.sin(phi), mu], axis=1)
+    names = ("tid", "m", "cx", "cy", "cz")
+    found: list[DataFrame] = []
+
+    def owned(some: DataFrame) -> DataFrame:
+        rows = points(some) if callable(points) else points.select("tid", *"xyz").join(some.select(*names).hint("merge"), "tid")
+        return rows.select(F.col("tid").cast("long").alias("tid"), *(F.col(c).cast("double").alias(c) for c in (*names[1:], *"xyz"))).dropna()
 
     def offset(a: str) -> Column:
         return F.pmod(F.col(a) - F.col(f"c{a}") + box / 2, F.lit(box)) - box / 2
 
-    own = points.join(centre, F.col("tid") == F.col("cid")).select("tid", "m", *(offset(a).alias(f"o{a}") for a in "xyz"), "cx", "cy", "cz")
-    support = [F.max(d[0] * F.col("ox") + d[1] * F.col("oy") + d[2] * F.col("oz")).alias(f"h{n}") for n, d in enumerate(directions)]
-    far = F.max(F.sqrt(F.col("ox") * F.col("ox") + F.col("oy") * F.col("oy") + F.col("oz") * F.col("oz"))).alias("far")
-    hulls = own.groupBy(F.col("tid").alias("parent"), F.col("m").alias("pm"), "cx", "cy", "cz").agg(*support, far)
-    hulls = hulls.persist()
-    others = points.join(tracers.select(F.col("tid").alias("id2"), "m"), F.col("tid") == F.col("id2")).select(F.col("tid").cast("long").alias("tid"), *(F.col(a).cast("double").alias(a) for a in "xyz"), F.col("m").cast("double").alias("m"))
-    reach = hulls.agg(F.max("far")).first()[0]
-    if reach is None:
-        return others.select("tid", F.col("tid").alias("parent")).limit(0)
-    m = max(1, min(64, int(box / (2.5 * max(reach, 1e-9)))))
-    i = [F.pmod(F.floor(F.col(a) / (box / m)), F.lit(m)).cast("int") for a in "xyz"]
-    local = {f"l{a}": F.col(a) - F.floor(F.col(a) / (box / m)) * (box / m) for a in "xyz"}
-    columns = ("tid", "m", "lx", "ly", "lz", "x", "y", "z", "far", "h")
-    stars = others.select(((i[0] * m + i[1]) * m + i[2]).alias("cell"), "tid", "m", *(v.alias(k) for k, v in local.items()), "x", "y", "z", F.lit(0.0).alias("far"), F.lit(None).cast("array<double>").alias("h"))
-    parts = stars.groupBy("cell").agg(F.ceil(F.count("*") / POINTS).cast("int").alias("parts"))
-    bodies = hulls.select(F.col("parent").cast("long").alias("tid"), F.col("pm").cast("double").alias("m"), *(F.col(f"c{a}").cast("double").alias(a) for a in "xyz"), "far", F.array(*(f"h{n}" for n in range(facets))).alias("h"))
-    spread = bodies.mapInArrow(_spread(m, box), "cell int, tid long, m double, lx double, ly double, lz double, x double, y double, z double, far double, h array<double>")
-    there = stars.join(parts, "cell").select("cell", F.pmod(F.xxhash64("x", "y", "z"), "parts").cast("int").alias("part"), F.lit(0).alias("kind"), *columns)
-    here = spread.join(parts, "cell").select("cell", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(1).alias("kind"), *columns)
-    rows = there.unionByName(here).repartition("cell", "part").sortWithinPartitions("cell", "part", "kind")
-    pairs = rows.mapInArrow(_inside(box / m, box, np.array(directions)), "tid long, parent long, m double, pm double").distinct()
-
-    pairs = cut(pairs)
+    def bodies(some: DataFrame) -> DataFrame:
+        own = owned(some).select(*names, *(offset(a).alias(f"o{a}") for a in "xyz"))
+        support = [F.max(d[0] * F.col("ox") + d[1] * F.col("oy") + d[2] * F.col("oz")).alias(f"h{n}") for n, d in enumerate(directions.tolist())]
+        far = F.max(F.sqrt(F.col("ox") * F.col("ox") + F.col("oy") * F.col("oy") + F.col("oz") * F.col("oz"))).alias("far")
+        return own.groupBy(*names).agg(*support, far).select("tid", "m", *(F.col(f"c{a}").alias(a) for a in "xyz"), "far", F.array(*(f"h{n}" for n in range(facets))).alias("h"))
+
+    def outermost(pairs: DataFrame) -> DataFrame:
+        return cut(pairs.groupBy("tid").agg(F.max_by("parent", F.struct("pm", -F.col("parent"))).alias("parent")))
+
+    left = cut(tracers.withColumns({f"c{a}": F.col(a) for a in "xyz"}).dropna(subset=["m"]))
+    while n := left.count():
+        low = left.agg(F.percentile_approx("m", 1 - max(1 / SHARE, LEAST / n))).first()[0] if n > LEAST else None
+        heavy, light = (left.where(F.col("m") >= low), left.where(F.col("m") < low)) if n > LEAST else (left, None)
+        hulls = cut(bodies(heavy))
+        pairs = cut(_overlaps(owned(heavy), hulls, box, directions).distinct())
+        lost = _swallowed(pairs)
+        if lost is not None:
+            found.append(outermost(pairs.join(lost.hint("merge"), "tid", "left_semi").join(lost.withColumnRenamed("tid", "parent").hint("merge"), "parent", "left_anti")))
+        if light is None:
+            break
+        standing = hulls if lost is None else cut(hulls.join(lost.hint("merge"), "tid", "left_anti"))
+        found.append(outermost(_overlaps(owned(light), standing, box, directions)))
+        left = cut(light.join(found[-1].hint("merge"), "tid", "left_anti"))
+    return reduce(DataFrame.unionByName, found) if found else tracers.select(F.col("tid").cast("long").alias("tid"), F.col("tid").cast("long").alias("parent")).limit(0)
+
+
+def _swallowed(pairs: DataFrame) -> DataFrame | None:
+    """tid of those that the greedy choice swallows, of all overlaps (tid, parent); None: no one."""
     left, lost = pairs.select("tid", "parent"), None
     while not left.isEmpty():
         # a parent in nobody's hull stands; what it holds is swallowed, and is no parent
-        standing = left.select("parent").distinct().join(left.select(F.col("tid").alias("parent")).distinct(), "parent", "left_anti")
-        gone = cut(left.join(standing, "parent", "left_semi").select("tid").distinct())
+        standing = left.select("parent").distinct().join(left.select(F.col("tid").alias("parent")).distinct().hint("merge"), "parent", "left_anti")
+        gone = cut(left.join(standing.hint("merge"), "parent", "left_semi").select("tid").distinct())
         lost = gone if lost is None else lost.union(gone)
-        left = cut(left.join(gone, "tid", "left_anti").join(gone.withColumnRenamed("tid", "parent"), "parent", "left_anti"))
-    if lost is None:
-        return pairs.select("tid", "parent")
-    kept = pairs.join(lost, "tid", "left_semi").join(lost.withColumnRenamed("tid", "parent"), "parent", "left_anti")
-    return kept.groupBy("tid").agg(F.max_by("parent", F.struct("pm", -F.col("parent"))).alias("parent"))
+        left = cut(left.join(gone.hint("merge"), "tid", "left_anti").join(gone.withColumnRenamed("tid", "parent").hint("merge"), "parent", "left_anti"))
+    return lost
 
 
 def split_cells(tracers: DataFrame, cells: DataFrame, radius: str, total: int, grid: int, box: float) -> DataFrame:

@@ -245,6 +245,31 @@ def test_substructure_against_all_pairs(spark, monkeypatch, wide):
     assert parent and {r.tid: r.parent for r in tessellation.substructure(tracers, owned, BOX).collect()} == parent
 
 
+def test_substructure_makes_few_overlaps(spark, monkeypatch):
+    """Taken a few at a time, the heaviest first, tracers get the same parents; overlaps of hulls that are
+    swallowed aren't made."""
+    rows, whole = [], tessellation.cut
+
+    def cut(df):
+        out = whole(df)
+        if "pm" in df.columns:
+            rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(tessellation, "cut", cut)
+    rng = np.random.default_rng(22)
+    tracers = spark.createDataFrame([(i, *map(float, p), float(i // 2 + 1), float(4 * (i // 2 + 1) ** (1 / 3))) for i, p in enumerate(rng.uniform(0, BOX, (150, 3)))], "tid long, x double, y double, z double, m double, radius double")
+    n, cubes = tracers.agg(F.count("*"), sampling.cubed("radius")).first()
+    owned = sampling.spheres(tracers, "radius", 20 * n, BOX).drop("n")
+    at_once = sorted(tessellation.substructure(tracers, owned, BOX).collect())
+    made = sum(rows)
+    rows.clear()
+    monkeypatch.setattr(tessellation, "LEAST", 10)
+    few = tessellation.substructure(tracers, lambda some: sampling.spheres(some, "radius", 20 * n, BOX, keep=("m", "cx", "cy", "cz"), cubes=cubes), BOX)
+    assert sorted(few.collect()) == at_once and len(at_once) > 100
+    assert sum(rows) < made / 4
+
+
 def test_split_cells_clip(spark):
     tracers = spark.createDataFrame([(1, 25.0, 25.0, 25.0, 4.0)], "tid long, x double, y double, z double, radius double")
     cells = spark.createDataFrame([(1, -3.0)], "tid long, delta double")
